@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import ngram_join
-from quern.llm._spark import table
+from quern.llm import chat_format, decontaminate, language_id, lm_score, ngram_join, quality, sentencepiece_codec
+from quern.llm._spark import remainder, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,9 +37,51 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_digests(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_conversations(rows.union(more)))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = remainder(F.col("doc_id"), 4) == 2
+    model = quality.fit(docs, labels.where(~out))
+    return quality.predict(docs, model, held_out=out)
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    return lm_score.score(docs, lm_score.fit(docs.where(~out)), held_out=out)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return language_id.predict(docs, language_id.fit(docs.where(~out)), held_out=out)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP10_SQL = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, unnest(sh) AS g FROM ({_shingles_sql("documents", "doc_id")})),
+i AS MATERIALIZED (SELECT item_id, len(sh) AS n, unnest(sh) AS g FROM ({_shingles_sql("benchmark", "item_id")}))
+SELECT d.doc_id, i.item_id, CAST(i.n AS BIGINT) AS item_shingles, count(*) AS shared_shingles, count(*) / CAST(i.n AS DOUBLE) AS containment
+FROM d JOIN i ON d.g = i.g GROUP BY d.doc_id, i.item_id, i.n HAVING 100 * count(*) >= 80 * i.n
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_ngram_join": op1_ngram_join}
+    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op4_chat_format, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": OP1_SQL}
+    return {"op1_ngram_join": OP1_SQL, "op10_decontaminate": OP10_SQL}
