@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import chat_format, decontaminate, language_id, lm_score, ngram_join, quality, sentencepiece_codec
+from quern.llm import chat_format, decontaminate, language_id, lm_score, ngram_join, quality, sentencepiece_codec, suffix_dedup
 from quern.llm._spark import remainder, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -80,7 +84,7 @@ FROM d JOIN i ON d.g = i.g GROUP BY d.doc_id, i.item_id, i.n HAVING 100 * count(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op4_chat_format, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_suffix_dedup, op4_chat_format, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
