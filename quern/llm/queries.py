@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import chat_format, decontaminate, language_id, lm_score, ngram_join, quality, sentencepiece_codec, suffix_dedup
+from quern.llm import chat_format, decontaminate, embedding_dedup, language_id, lm_score, ngram_join, quality, sentencepiece_codec, suffix_dedup
 from quern.llm._spark import remainder, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,6 +52,21 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.union(more)))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).drop("class_id")
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS node, vec_id AS reach FROM v UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.reach),
+c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id
+"""
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = remainder(F.col("doc_id"), 4) == 2
@@ -84,8 +99,8 @@ FROM d JOIN i ON d.g = i.g GROUP BY d.doc_id, i.item_id, i.n HAVING 100 * count(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_suffix_dedup, op4_chat_format, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_suffix_dedup, op4_chat_format, op6_embedding_dedup, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": OP1_SQL, "op10_decontaminate": OP10_SQL}
+    return {"op1_ngram_join": OP1_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontaminate": OP10_SQL}
