@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import chat_format, decontaminate, embedding_dedup, language_id, lm_score, ngram_join, quality, sentencepiece_codec, suffix_dedup
+from quern.llm import chat_format, decontaminate, embedding_dedup, language_id, line_dedup, lm_score, ngram_join, quality, sentencepiece_codec, suffix_dedup
 from quern.llm._spark import remainder, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,6 +52,35 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.union(more)))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS said, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i, list_transform(list_filter(regexp_split_to_array(ls[i], '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''),
+      lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+      FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+n AS MATERIALIZED (SELECT doc_id, i, t, [CAST(len(t) AS VARCHAR)] || t[1:3] AS leaf FROM l WHERE len(t) >= 5),
+e AS MATERIALIZED (SELECT t, min({'d': doc_id, 'i': i}) AS f FROM n GROUP BY t HAVING count(DISTINCT doc_id) >= 6),
+x AS (SELECT n.doc_id, n.i FROM n JOIN e USING (t) WHERE {'d': n.doc_id, 'i': n.i} <> e.f),
+r AS MATERIALIZED (SELECT * FROM n WHERE t NOT IN (SELECT t FROM e)),
+m AS MATERIALIZED (SELECT * FROM r WHERE leaf IN (SELECT leaf FROM r GROUP BY leaf HAVING count(DISTINCT doc_id) >= 6)),
+k AS (SELECT leaf, p, t[p] AS w, count(*) AS c FROM (SELECT leaf, t, unnest(range(1, len(t) + 1)) AS p FROM m) GROUP BY ALL),
+q AS (SELECT leaf, p, max({'c': c, 'w': w}) AS top, sum(c) AS a FROM k GROUP BY ALL),
+z AS (SELECT leaf, list(CASE WHEN top.c >= 0.6 * a THEN top.w END ORDER BY p) AS z FROM q GROUP BY leaf),
+y AS (SELECT leaf, z, len(list_filter(z, lambda v: v IS NOT NULL)) AS s FROM z),
+g AS MATERIALIZED (SELECT m.doc_id, m.i, m.leaf FROM m JOIN y USING (leaf) WHERE y.s >= 0.6 * len(y.z)
+      AND len(list_filter(range(1, len(m.t) + 1), lambda p: coalesce(m.t[p] = y.z[p], false))) >= 0.9 * y.s),
+h AS (SELECT leaf, min({'d': doc_id, 'i': i}) AS f FROM g GROUP BY leaf HAVING count(DISTINCT doc_id) >= 6),
+b AS (SELECT doc_id, list(i) AS drops FROM (SELECT * FROM x UNION SELECT g.doc_id, g.i FROM g JOIN h USING (leaf) WHERE {'d': g.doc_id, 'i': g.i} <> h.f) GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(d.ls) AS n_lines, coalesce(len(b.drops), 0) AS n_dropped, CASE WHEN b.drops IS NULL THEN d.said
+      ELSE array_to_string(list_transform(list_filter(range(1, len(d.ls) + 1), lambda j: NOT list_contains(b.drops, j)), lambda j: d.ls[j]), chr(10)) END AS kept
+      FROM d LEFT JOIN b USING (doc_id))
+SELECT doc_id, n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, CAST(strlen(kept) AS BIGINT) AS kept_bytes, sha256(kept) AS kept_sha256 FROM o
+"""
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).drop("class_id")
 
@@ -99,8 +128,8 @@ FROM d JOIN i ON d.g = i.g GROUP BY d.doc_id, i.item_id, i.n HAVING 100 * count(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_suffix_dedup, op4_chat_format, op6_embedding_dedup, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_suffix_dedup, op4_chat_format, op5_line_dedup, op6_embedding_dedup, op7_quality, op8_lm_score, op9_language_id, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": OP1_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontaminate": OP10_SQL}
+    return {"op1_ngram_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_embedding_dedup": OP6_SQL, "op10_decontaminate": OP10_SQL}
