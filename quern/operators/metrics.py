@@ -44,10 +44,12 @@ def staged_regression(df: DataFrame, label: str, first: float | Column, steps: S
 def staged_accuracy(df: DataFrame, label: str, first: Sequence[float], steps: Sequence[Sequence[Column]], labels: Sequence[float]) -> DataFrame:
     """(stage, accuracy): steps holds for each class its columns by stage; the class of the greatest running sum is predicted."""
     y = F.col(quoted(label)).cast("double")
-    sums = [F.transform(_prefix(F.array(*class_steps)), lambda x, f=f: x + F.lit(float(f))) for f, class_steps in zip(first, steps, strict=True)]
-    rows = df.select(y.alias("y"), F.arrays_zip(*(s.alias(f"s{k}") for k, s in enumerate(sums))).alias("z"))
-    each = rows.select("y", F.posexplode("z").alias("k", "z"))
-    scores = F.array(*(F.col("z")[f"s{k}"] if len(sums) > 1 else F.col("z")["s0"] for k in range(len(sums))))
+    def sums(start: float, class_steps: Sequence[Column]) -> Column:
+        return F.transform(_prefix(F.array(*class_steps)), lambda x: x + F.lit(float(start)))
+
+    rows = df.select(y.alias("y"), *(sums(f, s).alias(f"s{k}") for k, (f, s) in enumerate(zip(first, steps, strict=True))))
+    each = rows.select("y", F.posexplode(F.arrays_zip(*(f"s{k}" for k in range(len(first))))).alias("k", "z"))
+    scores = F.array(*(F.col("z")[f"s{k}"] for k in range(len(first))))
     index = F.array_position(scores, F.array_max(scores)).cast("int")
     chosen = F.element_at(F.array(*(F.lit(float(x)) for x in labels)), index)
     return each.groupBy((F.col("k") + 1).alias("stage")).agg(F.avg((chosen == F.col("y")).cast("double")).alias("accuracy")).orderBy("stage")
