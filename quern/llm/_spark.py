@@ -19,11 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; where none is named (as in tests), a folder of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"{tempfile.gettempdir()}/quern-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/quern-checkpoints"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
