@@ -23,10 +23,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs nothing.
+
+    The files go when the driver's JVM ends, or earlier by ``discard``.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files, at = _file_system(spark, path)
+    files.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a stored DataFrame that nothing reads any more."""
+    files, at = _file_system(df.sparkSession, df._stored_at)
+    files.delete(at, True)
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -65,9 +84,12 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours are ever gathered: a hub costs one partial minimum per task. Self loops and nulls are ignored.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    seen = None
+    seen = before = None
     while True:
         edges = stored(_small_star(_large_star(edges)), "stars")
+        if before is not None:
+            discard(before)
+        before = edges
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == now:
             break
