@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df under spark.checkpoint.dir (a local folder only where none is set) and reads it back."""
+    """Writes df under spark.checkpoint.dir (a local folder only where none is set) and reads it back; the files go when the driver's JVM ends."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/quern-checkpoints"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
