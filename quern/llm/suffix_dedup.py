@@ -36,8 +36,8 @@ from quern.llm._spark import buckets_for, stored
 
 LENGTH, GRAM = 200, 100
 SPLIT = 8192
-PIECE = 4 << 20
-SHARD_BYTES = 3 << 20  # of stored input for each shard
+PIECE = 1 << 20
+SHARD_BYTES = 1 << 20  # of stored input for each shard
 _LOW = (1 << 24) - 1
 
 
@@ -116,7 +116,7 @@ def _by_gram(n_buckets: int, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in _text.slices(batch, most=12 << 20):
+            for part in _text.slices(batch):
                 part = part.filter(pa.array(_first_rows(part.column("node").to_numpy(), seen)))
                 nodes = part.column("node").to_numpy()
                 g, c, doc, pos, before, after = anchors(*_text.utf8(part.column("text")), length, gram)
@@ -238,35 +238,50 @@ def _cut_contexts(n_shards: int, gram: int):
 
 
 def suffix_array(text: np.ndarray, deep: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order and rank of all suffixes by Larsson-Sadakane refinement, and the suffixes that share `deep` bytes with another.
+    """Order and rank of all suffixes by Larsson-Sadakane refinement, and the suffixes that share `deep` bytes with another, among some that share less.
 
     A suffix that ends sorts before its extensions.
     """
     n = len(text)
-    padded = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
+    bits = max(1, n.bit_length())
+    packed = 3 * bits <= 63  # a group, the next group and a place fit one word, which sorts faster than an index
+    used = np.bincount(text, minlength=256) > 0
+    code = np.cumsum(used).astype(np.uint64)  # 0 stands for the end
+    width = int(code[-1]).bit_length()
+    h = max(1, min(deep, (63 - bits if packed else 63) // width))
     key = np.zeros(n, np.uint64)
-    for i in range(7):  # 7 symbols of 9 bits
-        key = key << np.uint64(9) | padded[i : i + n]
-    order = np.argsort(key)
-    sorted_ = key[order]
-    starts, lengths = _text.runs(sorted_)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(starts, lengths)
-    many = np.repeat(lengths > 1, lengths)
-    slots = np.flatnonzero(many)  # places in the order that are not settled
-    h, shared = 7, None
+    for i in range(h):
+        key <<= np.uint64(width)
+        key[: max(0, n - i)] |= code[text[i:]]
+    if packed:
+        key = np.sort(key << np.uint64(bits) | np.arange(n, dtype=np.uint64))
+        order = (key & np.uint64((1 << bits) - 1)).astype(np.int32)
+        key >>= np.uint64(bits)
+    else:
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+    starts, lengths = _text.runs(key)
+    del key
+    rank = np.empty(n, np.int32)
+    rank[order] = np.repeat(starts.astype(np.int32), lengths)
+    slots = np.flatnonzero(np.repeat(lengths > 1, lengths)).astype(np.int32)  # places in the order that are not settled
+    shared = None
     while True:
-        if shared is None and h >= deep:
+        if shared is None and 2 * h > deep:  # the last depth that isn't beyond
             shared = order[slots]
         if not len(slots):
             break
         at = order[slots]
-        group = rank[at]
-        beyond = at + h
-        next_ = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
-        both = group << np.int64(32) | next_
-        sort = np.argsort(both, kind="stable")
-        at, both = at[sort], both[sort]
+        both = rank[at].astype(np.int64) << np.int64(bits)
+        beyond = at + np.int32(h) if h < n else np.full(len(at), n, np.int32)
+        both += np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
+        if packed:
+            both = np.sort(both << np.int64(bits) | at)
+            at = (both & np.int64((1 << bits) - 1)).astype(np.int32)
+            both >>= np.int64(bits)
+        else:
+            sort = np.argsort(both)
+            at, both = at[sort], both[sort]
         order[slots] = at
         starts, lengths = _text.runs(both)
         rank[at] = np.repeat(slots[starts], lengths)
@@ -319,7 +334,7 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     """Positions that share `length` bytes with another, ascending, and the number of each one's class."""
     if len(text) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order, rank, shared = suffix_array(text, min(112, length))
+    order, rank, shared = suffix_array(text, length)
     common = kasai(text, order, rank, shared, length)
     by_rank = np.argsort(rank[shared])
     ranks = rank[shared][by_rank]
@@ -332,6 +347,21 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     return position[back], klass[back]
 
 
+def _window_hashes(text: np.ndarray, where: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the strings of `length` bytes at ascending positions."""
+    out = np.empty(len(where), np.uint64)
+    for low in range(0, len(text), PIECE):
+        a, b = np.searchsorted(where, [low, low + PIECE])
+        if a < b:
+            part = text[low : low + PIECE + length]
+            power, inverse = _text.powers(len(part) + 1)
+            total = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_text._CODE[part] * power[: len(part)], out=total[1:])
+            at = where[a:b] - low
+            out[a:b] = _text.mix((total[at + length] - total[at]) * inverse[at])
+    return out
+
+
 WINDOWS = "node long, spans binary, bucket int, hashes binary, nodes binary, starts binary"
 
 
@@ -368,10 +398,7 @@ def _shard(length: int, n_buckets: int):
             valid = np.maximum(size[split] - length + 1, 0)
             where = _text.spread(at[split], valid)
             own = np.repeat(split, valid)
-            power, inverse = _text.powers(len(text) + 1)
-            total = np.zeros(len(text) + 1, np.uint64)
-            np.cumsum(_text._CODE[text] * power[: len(text)], out=total[1:])
-            hashes = _text.mix((total[where + length] - total[where]) * inverse[where])
+            hashes = _window_hashes(text, where, length)
             begin = start[own] + where - at[own]
             hashes, first = np.unique(hashes, return_index=True)
             bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
@@ -443,7 +470,7 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: i
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
     texts = rows.select("node", "text").mapInArrow(_distinct, "node long, text string")
     n_buckets, n_shards = buckets_for(docs), buckets_for(docs, SHARD_BYTES)
-    found = texts.mapInArrow(_by_gram(n_buckets, length, gram), ANCHORS).groupBy("bucket").applyInArrow(_candidates(gram, split), FOUND)
+    found = rows.select("node", "text").mapInArrow(_by_gram(n_buckets, length, gram), ANCHORS).groupBy("bucket").applyInArrow(_candidates(gram, split), FOUND)
     found = stored(found, "suffix-candidates")
     wants = found.where("wants IS NOT NULL").groupBy("node").agg(F.collect_list("wants").alias("wants"))
     contexts = texts.join(wants, "node").mapInArrow(_cut_contexts(n_shards, gram), CONTEXTS)
@@ -453,7 +480,8 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: i
     spans = spans.groupBy("node").agg(F.collect_list("spans").alias("spans"))
     each = texts.join(spans, "node", "left").mapInArrow(_finish, "node long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")
     each = each.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "removed")))
-    times = rows.groupBy("node").count()
+    small = stored(rows.select("doc_id", "node"), "suffix-rows")
+    times = small.groupBy("node").count()
     each = each.join(times, "node").withColumn("all", (F.col("count") > 1) & (F.col("n_bytes") >= length))
     nothing = hashlib.sha256(b"").hexdigest()
     choose = lambda c, whole: F.when(F.col("all"), whole).otherwise(F.col(c)).alias(c)
@@ -461,4 +489,4 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: i
         "node", "n_bytes", choose("n_removed", F.col("n_bytes")), choose("n_spans", F.lit(1).cast("long")), choose("kept_sha256", F.lit(nothing)),
         choose("removed", F.array(F.lit(0).cast("long"), F.col("n_bytes"))),
     )
-    return rows.select("doc_id", "node").join(each, "node").drop("node")
+    return small.join(each, "node").drop("node")
