@@ -24,18 +24,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm._spark import stored
+from quern.types import quoted
 
 LEAD = 3
 MIN_TOKENS = 5
 MIN_DOCS, GENERAL_DOCS = 6, 6
 CONSTANT, SOLID, MATCH = 0.6, 0.6, 0.9
 FIELD = "<*>"
+_SPACE = " \t\x0b\f\r"
 
 
 def _tokens(line: Column) -> Column:
     """Tokens with variable fields masked. The look-behind keeps the pattern linear in very long tokens."""
-    masked = F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD)
-    return F.split(F.regexp_replace(masked, r"^\s+|\s+$", ""), r"\s+")
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD)).otherwise(line)
+    return F.split(F.btrim(masked, F.lit(_SPACE)), r"\s+")
+
+
+def _described(line: Column) -> Column:
+    """Number of tokens, leaf and full hash of a line; the tokens are made once, inside the generator that calls this."""
+    lead = lambda t: F.xxhash64(F.size(t), F.slice(t, 1, LEAD))
+    return F.transform(F.array(_tokens(line)), lambda t: F.struct(F.size(t).alias("n"), lead(t).alias("leaf"), F.xxhash64(t).alias("full")))[0]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -56,9 +64,8 @@ def dropped_lines(docs: DataFrame, *, min_tokens: int = MIN_TOKENS, min_docs: in
     """(_row, _line) of all lines that go."""
     rows = _rows(docs)
     later = (F.col("_row") != F.col("_first_row")) | (F.col("_line") != F.col("_first_line"))
-    lines = rows.select("_row", "_doc", F.posexplode(F.split("_text", "\n")).alias("_line", "_said"))
-    lines = lines.withColumn("_tokens", _tokens(F.col("_said"))).where(F.size("_tokens") >= min_tokens)
-    lines = lines.select("_row", "_doc", "_line", F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, LEAD)).alias("_leaf"), F.xxhash64("_tokens").alias("_full"))
+    lines = rows.select("_row", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), _described)).alias("_line", "_d")).where(F.col("_d.n") >= min_tokens)
+    lines = lines.select("_row", "_doc", "_line", F.col("_d.leaf").alias("_leaf"), F.col("_d.full").alias("_full"))
     lines = stored(lines, "lines")
     recurring = _first_and_docs(lines, "_full", min_docs)
     exact = lines.join(recurring, "_full").where(later).select("_row", "_line")
@@ -82,24 +89,27 @@ def dropped_lines(docs: DataFrame, *, min_tokens: int = MIN_TOKENS, min_docs: in
 
 
 def _with_drops(docs: DataFrame, **options) -> DataFrame:
+    """_all (the row as a struct, so that no name clashes), _text, _drop (line numbers that go, or null), _kept."""
     drops = dropped_lines(docs, **options).groupBy(F.col("_row").alias("_key")).agg(F.collect_list("_line").alias("_drop"))
     text = F.col("text").cast("string")
     row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))
-    joined = docs.join(drops, row == F.col("_key"), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    return joined.withColumn("_kept", F.when(F.col("_drop").isNull(), text).otherwise(kept))
+    packed = docs.select(row.alias("_row"), text.alias("_text"), F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_all"))
+    joined = packed.join(drops, F.col("_row") == F.col("_key"), "left")
+    kept = F.array_join(F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains("_drop", i)), "\n")
+    return joined.withColumn("_kept", F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept))
 
 
 def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:
     """docs with the recurring lines cut out of text."""
-    return _with_drops(docs, **options).withColumn("text", F.col("_kept")).select(*docs.columns)
+    out = _with_drops(docs, **options)
+    return out.select(*(F.col("_kept").cast(docs.schema[c].dataType).alias(c) if c.lower() == "text" else F.col("_all")[c].alias(c) for c in docs.columns))
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_bytes, kept_sha256 of every row."""
-    out = _with_drops(docs.select("doc_id", "text"), **options)
+    out = _with_drops(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)
     kept = F.coalesce("_kept", F.lit(""))
     return out.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
+        F.col("_all.doc_id").alias("doc_id"), F.when(F.col("_text").isNull(), 0).otherwise(F.size(F.split("_text", "\n"))).cast("long").alias("n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
