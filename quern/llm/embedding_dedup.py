@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.llm import _text
 from quern.llm._spark import components, stored
@@ -83,10 +84,12 @@ def cells(unit: np.ndarray, label: np.ndarray, tables: int = TABLES, probes: int
     return np.stack(out, axis=1) if n else np.zeros((0, tables * (1 + probes)), np.int64)
 
 
-MEMBERS = "node long, times long, vector binary, keys binary, cell long"
+VECTORS = "node long, times long, vector binary, keys binary"
 
 
-def _members(tables: int, probes: int, scale: float):
+def _keyed(tables: int, probes: int, scale: float, dtype: str):
+    """Nodes -> their vectors as bytes with the sorted keys of all their cells."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array(batch.column("size"))
@@ -95,17 +98,21 @@ def _members(tables: int, probes: int, scale: float):
                 x = np.array(part.column("embedding").flatten(), np.float64).reshape(-1, d)
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                 keys = np.sort(cells(unit, np.array(part.column("label")), tables, probes, scale), axis=1)
-                first = np.concatenate([np.ones((len(keys), 1), bool), keys[:, 1:] != keys[:, :-1]], axis=1)
-                row, col = np.nonzero(first)
-                row_ = pa.array(row)
-                vectors, all_keys = pa.array([v.tobytes() for v in x]), pa.array([k.tobytes() for k in keys])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node").take(row_), part.column("times").take(row_), vectors.take(row_), all_keys.take(row_), pa.array(keys[row, col])], ["node", "times", "vector", "keys", "cell"]
+                    [part.column("node"), part.column("times"), pa.array([v.tobytes() for v in x.astype(dtype)]), pa.array([k.tobytes() for k in keys])], ["node", "times", "vector", "keys"]
                 )
 
     return run
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, cell) of every node's distinct cells."""
+    for batch in batches:
+        lists = [np.unique(np.frombuffer(k, np.int64)) for k in batch.column("keys").to_pylist()]
+        node = np.repeat(batch.column("node").to_numpy(), [len(k) for k in lists])
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64))], ["node", "cell"])
+
+
 def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a spanning forest of a symmetric boolean adjacency matrix."""
     left = near.any(axis=1)
@@ -127,7 +134,7 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
 LINKS = "node long, links long, a long, b long"
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, dtype: str):
     """Members of cells (or of two blocks of one) -> numbers of links by node, and forest edges."""
 
     def run(data: pa.Table) -> pa.Table:
@@ -142,7 +149,7 @@ def _compare(threshold: float):
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
             if e - s < 2:
                 continue
-            x = np.frombuffer(b"".join(raw[s:e]), np.float64).reshape(e - s, -1)
+            x = np.frombuffer(b"".join(raw[s:e]), dtype).astype(np.float64).reshape(e - s, -1)
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             near = x @ x.T >= threshold
             np.fill_diagonal(near, False)
@@ -180,16 +187,17 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, tables:
     rows = rows.withColumn("node", F.when(valid, F.xxhash64("label", F.transform("embedding", lambda x: x + F.lit(0.0)))))
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("embedding").alias("embedding"), F.first("label").alias("label"), F.count("*").alias("times"), F.min("vec_id").alias("class_id"))
     nodes = stored(nodes, "embedding-nodes")
-    members = nodes.select("node", "times", "embedding", "label", F.size("embedding").alias("size")).mapInArrow(_members(tables, probes, scale), MEMBERS)
-    counts = members.groupBy("cell").count().where("count > 1")
-    counts = counts.select("cell", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    dtype = "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
+    keyed = nodes.select("node", "times", "embedding", "label", F.size("embedding").alias("size")).mapInArrow(_keyed(tables, probes, scale, dtype), VECTORS)
+    keyed = stored(keyed, "embedding-keys")
+    members = keyed.select("node", "keys").mapInArrow(_members, "node long, cell long")
+    counts = members.groupBy("cell").count().where("count > 1").select("cell", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     members = members.join(counts, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
-    n = nodes.count()
-    tasks = max(1, math.ceil(n * tables * (1 + probes) / TASK_MEMBERS))
+    tasks = max(1, math.ceil(nodes.count() * tables * (1 + probes) / TASK_MEMBERS))
     members = members.withColumn("task", F.pmod(F.xxhash64("cell", "i", "j"), F.lit(tasks)))
-    found = members.groupBy("task").applyInArrow(_compare(threshold), LINKS)
+    found = members.join(keyed, "node").groupBy("task").applyInArrow(_compare(threshold, dtype), LINKS)
     found = stored(found, "embedding-links")
     links = found.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.where("a IS NOT NULL").select("a", "b"))
