@@ -207,6 +207,50 @@ def test_lm_seats_of_a_large_cell():
     assert got.mean() == pytest.approx(t, rel=0.1)
 
 
+def test_lm_learns_word_pairs(spark):
+    """After "q0ab" comes "x", after "q1ab" comes "y": previous words of one ending are told apart, and the pair's count is used exactly."""
+    follows = {f"q{i}ab": f"w{i}" for i in range(20)}
+    train = " ".join(f"{a} {b} the" for a, b in list(follows.items()) * 10)
+    rows = [(1, train), (2, "q0ab w0"), (3, "q0ab w1"), (4, "q19ab w19 the"), (5, "q19ab w3 the")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.score for r in lm_score.score(df, lm_score.fit(df.where("doc_id = 1"), n_buckets=3)).collect()}
+    assert out[2] > out[3] + 1 and out[4] > out[5] + 1
+
+
+def test_lm_score_of_word_pairs_is_exact(docs, texts):
+    """With one table a cell in all levels (no sweep), the scores are those of the formula, at any number of buckets."""
+    held = lambda i: i is not None and i % 3 == 1
+    ends = {w: f for t in texts for w, f in zip([None, *toks(t[1])[:-1]], (lm_score.tokens(pa.array([t[1]]))[1] >> np.uint64(55)).tolist(), strict=True)}
+    pairs = Counter(p for i, t in texts if not held(i) for p in zip([None, *toks(t)[:-1]], [w or "END" for w in toks(t)], strict=True))
+    up = lambda f: int(lm_score._parent(np.array([f]))[0])
+    levels = [pairs, Counter((ends[u], w) for u, w in pairs)]
+    levels += [Counter((up(f), w) for f, w in levels[1])]
+    levels += [Counter((0, w) for _, w in levels[2])]
+    once = [(sum(c == 1 for c in x.values()), sum(c == 2 for c in x.values())) for x in levels]
+    discounts = [min(0.95, max(0.05, a / (a + 2 * b) if a else 0.5)) for a, b in once]
+    customers, tables = [Counter() for _ in levels], [Counter() for _ in levels]
+    for k, x in enumerate(levels):
+        for (u, _), c in x.items():
+            customers[k][u] += c
+            tables[k][u] += 1
+    p_of = {}
+
+    def p(u, w):
+        if (u, w) not in p_of:
+            out = 1 / (len(levels[3]) + 1)
+            for k, at in ((3, 0), (2, up(ends[u])), (1, ends[u]), (0, u)):
+                d, c = discounts[k], levels[k][at, w]
+                out = (max(c - d, 0) + (1 + d * tables[k][at]) * out) / (1 + customers[k][at])
+            p_of[u, w] = out
+        return p_of[u, w]
+
+    want = Counter((i, round(sum(math.log10(p(u, w or "END")) for u, w in zip([None, *toks(t)[:-1]], toks(t), strict=True)), 1)) for i, t in texts)
+    for n in (1, 5):
+        model = lm_score.fit(docs.where("coalesce(doc_id % 3, 0) <> 1"), sweeps=0, n_buckets=n)
+        got = sorted((r.doc_id or -1, r.score) for r in lm_score.score(docs, model).collect())
+        assert [x for _, x in got] == pytest.approx([s for _, s in sorted((i or -1, s) for i, s in want.elements())], abs=0.06)
+
+
 def test_lm_without_training(docs, empty, texts):
     rows = lm_score.score(docs, lm_score.fit(empty)).collect()
     assert len(rows) == len(texts) and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and r.score == pytest.approx(0) for r in rows)
