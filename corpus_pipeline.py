@@ -20,12 +20,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, model)
 
 
-def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go, and with them the documents of which nothing else is left."""
-    kept = line_dedup.drop_recurring_lines(docs.withColumn("_had", F.length("text") > 0))
+def _rest(docs: DataFrame, cut) -> DataFrame:
+    """docs as `cut` leaves them, without those of which nothing is left, with n_chars renewed."""
+    kept = cut(docs.withColumn("_had", F.length("text") > 0))
     return kept.where("NOT coalesce(_had, false) OR length(text) > 0").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go, short ones too, and with them the documents of which nothing else is left."""
+    return _rest(docs, lambda x: line_dedup.drop_recurring_lines(x, short=True))
+
+
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id stays."""
     return ngram_join.keep_representatives(docs)

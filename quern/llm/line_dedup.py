@@ -11,7 +11,10 @@ templates are dropped but for the first (smallest doc_id, then line number), so
 Lines travel as hashes; a document's text travels twice, by its row, and only pre-aggregated counts meet
 for a common line.
 
-Defined results: null text stays null and has no lines; lines under MIN_TOKENS tokens are never dropped;
+Lines under MIN_TOKENS tokens are no templates; ``short`` drops those that recur exactly. The query
+op5_line_dedup does not take it, as its SQL.
+
+Defined results: null text stays null and has no lines; lines under MIN_TOKENS tokens stay without ``short``;
 a text whose lines are all dropped becomes empty; rows that share a doc_id are one document for the
 counts; a row with a null doc_id is a document of its own; equal rows get equal texts; an empty table
 gives an empty result. All columns stay and only text (in line_report: nothing) changes; n_chars and the
@@ -88,9 +91,21 @@ def dropped_lines(docs: DataFrame, *, min_tokens: int = MIN_TOKENS, min_docs: in
     return exact.union(wide).distinct()
 
 
-def _with_drops(docs: DataFrame, **options) -> DataFrame:
+def repeated_lines(docs: DataFrame, *, least: int = 1, most: int | None = None, min_docs: int) -> DataFrame:
+    """(_row, _line) of all lines of `least` to `most` tokens that are equal, digits included, to an earlier one, where they lie in min_docs documents."""
+    described = lambda line: F.transform(F.array(F.split(F.btrim(line, F.lit(_SPACE)), r"\s+")), lambda t: F.struct(F.when(t[0] == "", 0).otherwise(F.size(t)).alias("n"), F.xxhash64(t).alias("full")))[0]
+    lines = _rows(docs).select("_row", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), described)).alias("_line", "_d")).where(F.col("_d.n") >= least)
+    if most is not None:
+        lines = lines.where(F.col("_d.n") <= most)
+    lines = stored(lines.select("_row", "_doc", "_line", F.col("_d.full").alias("_full")), "same-lines")
+    later = (F.col("_row") != F.col("_first_row")) | (F.col("_line") != F.col("_first_line"))
+    return lines.join(_first_and_docs(lines, "_full", min_docs), "_full").where(later).select("_row", "_line").distinct()
+
+
+def _with_drops(docs: DataFrame, dropped: DataFrame | None = None, **options) -> DataFrame:
     """_all (the row as a struct, so that no name clashes), _text, _drop (line numbers that go, or null), _kept."""
-    drops = dropped_lines(docs, **options).groupBy(F.col("_row").alias("_key")).agg(F.collect_list("_line").alias("_drop"))
+    dropped = dropped_lines(docs, **options) if dropped is None else dropped
+    drops = dropped.groupBy(F.col("_row").alias("_key")).agg(F.collect_list("_line").alias("_drop"))
     text = F.col("text").cast("string")
     row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))
     packed = docs.select(row.alias("_row"), text.alias("_text"), F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_all"))
@@ -99,12 +114,18 @@ def _with_drops(docs: DataFrame, **options) -> DataFrame:
     return joined.withColumn("_kept", F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept))
 
 
-def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:
-    """docs with the recurring lines cut out of text."""
-    out = _with_drops(docs, **options)
+def _cut(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out.select(*(F.col("_kept").cast(docs.schema[c].dataType).alias(c) if c.lower() == "text" else F.col("_all")[c].alias(c) for c in docs.columns))
 
 
+def drop_recurring_lines(docs: DataFrame, *, short: bool = False, **options) -> DataFrame:
+    """docs with the recurring lines cut out of text; with short, also lines under MIN_TOKENS tokens that recur exactly."""
+    dropped = dropped_lines(docs, **options)
+    if short:
+        dropped = dropped.union(repeated_lines(docs, most=options.get("min_tokens", MIN_TOKENS) - 1, min_docs=options.get("min_docs", MIN_DOCS))).distinct()
+    return _cut(docs, _with_drops(docs, dropped))
+
+
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_bytes, kept_sha256 of every row."""
     out = _with_drops(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)

@@ -164,6 +164,13 @@ def test_line_dedup_generalises_words(spark):
     assert out[0] == rows[0][1] and out[5] == "something fay else 5" and out[20] == rows[8][1]
 
 
+def test_line_dedup_drops_short_lines(spark):
+    rows = [(i, f"All rights reserved.\nLes.\n\n{i}\nown{i}") for i in range(6)] + [(9, "Les.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(df, short=True).collect()}
+    assert out[0] == rows[0][1] and out[9] == "" and all(out[i] == f"\n{i}\nown{i}" for i in range(1, 6))
+
+
 def test_line_dedup_leaves_rare_lines_and_tables_without_rows(docs, empty, texts):
     assert line_dedup.drop_recurring_lines(empty).count() == 0
     few = docs.where("doc_id IN (1, 3, 13, 14)")
