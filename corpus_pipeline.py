@@ -32,8 +32,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id stays."""
-    return ngram_join.keep_representatives(docs)
+    """Of each group of near copies the document of the smallest id stays; of the rest, long lines stay in their first document only."""
+    return _rest(stored(ngram_join.keep_representatives(docs), "representatives"), line_dedup.drop_long_repeats)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

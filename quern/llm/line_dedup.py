@@ -11,8 +11,9 @@ templates are dropped but for the first (smallest doc_id, then line number), so
 Lines travel as hashes; a document's text travels twice, by its row, and only pre-aggregated counts meet
 for a common line.
 
-Lines under MIN_TOKENS tokens are no templates; ``short`` drops those that recur exactly. The query
-op5_line_dedup does not take it, as its SQL.
+Lines under MIN_TOKENS tokens and lines in few documents are no templates; ``short`` drops the former where they
+recur exactly, ``drop_long_repeats`` (for a corpus whose near copies are gone, as these would lose all but their
+short lines) those of LONG_TOKENS from the second document on. The query op5_line_dedup takes neither, as its SQL.
 
 Defined results: null text stays null and has no lines; lines under MIN_TOKENS tokens stay without ``short``;
 a text whose lines are all dropped becomes empty; rows that share a doc_id are one document for the
@@ -32,6 +33,7 @@ from quern.types import quoted
 LEAD = 3
 MIN_TOKENS = 5
 MIN_DOCS, GENERAL_DOCS = 6, 6
+LONG_TOKENS = 20  # of drop_long_repeats
 CONSTANT, SOLID, MATCH = 0.6, 0.6, 0.9
 FIELD = "<*>"
 _SPACE = " \t\x0b\f\r"
@@ -126,6 +128,11 @@ def drop_recurring_lines(docs: DataFrame, *, short: bool = False, **options) ->
     return _cut(docs, _with_drops(docs, dropped))
 
 
+def drop_long_repeats(docs: DataFrame, *, least: int = LONG_TOKENS) -> DataFrame:
+    """docs without lines of `least` tokens or more that lie, exactly equal, in two documents or more, but for the first."""
+    return _cut(docs, _with_drops(docs, repeated_lines(docs, least=least, min_docs=2)))
+
+
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_bytes, kept_sha256 of every row."""
     out = _with_drops(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)

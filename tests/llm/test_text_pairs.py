@@ -171,6 +171,18 @@ def test_line_dedup_drops_short_lines(spark):
     assert out[0] == rows[0][1] and out[9] == "" and all(out[i] == f"\n{i}\nown{i}" for i in range(1, 6))
 
 
+def test_pipeline_drops_long_lines_from_the_second_document_on(spark):
+    import corpus_pipeline
+
+    long, short = " ".join(f"w{k}" for k in range(60)), "a line in two documents"
+    tail = lambda i: " ".join(f"own{i}x{k}" for k in range(100))
+    rows = [(1, f"{long}\n{short}\n{tail(1)}"), (2, f"{tail(2)}\n{long}\n{short}"), (3, f"{long}\n{short}\n{tail(1)}"), (4, long.replace("w7", "w8"))]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    out = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.ngram_stage(spark, df, "").collect()}
+    want = {1: rows[0][1], 2: f"{tail(2)}\n{short}", 4: rows[3][1]}
+    assert out == {i: (t, len(t)) for i, t in want.items()}
+
+
 def test_line_dedup_leaves_rare_lines_and_tables_without_rows(docs, empty, texts):
     assert line_dedup.drop_recurring_lines(empty).count() == 0
     few = docs.where("doc_id IN (1, 3, 13, 14)")
