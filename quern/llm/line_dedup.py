@@ -1,25 +1,28 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 The tree has fixed depth: a line's number of tokens, then its first LEAD tokens, lead to a leaf. Tokens
-that hold a digit are variable fields from the start. At a leaf, lines that are equal up to these fields
-are one template. Of the other lines a leaf generalises one more template: a place where one token makes
-up CONSTANT of the leaf's lines is constant, any other is a variable field; the template stands if SOLID
-of its places are constant, and a line belongs to it if MATCH of the constants agree. A template is
-recurring if its lines lie in MIN_DOCS documents (GENERAL_DOCS for a generalised one). Lines of recurring
-templates are dropped but for the first (smallest doc_id, then line number), so no content is lost.
-
-Lines travel as hashes; a document's text travels twice, by its row, and only pre-aggregated counts meet
-for a common line.
-
-Lines under MIN_TOKENS tokens and lines in few documents are no templates; ``short`` drops the former where they
-recur exactly, ``drop_long_repeats`` (for a corpus whose near copies are gone, as these would lose all but their
-short lines) those of LONG_TOKENS from the second document on. The query op5_line_dedup takes neither, as its SQL.
-
-Defined results: null text stays null and has no lines; lines under MIN_TOKENS tokens stay without ``short``;
-a text whose lines are all dropped becomes empty; rows that share a doc_id are one document for the
-counts; a row with a null doc_id is a document of its own; equal rows get equal texts; an empty table
-gives an empty result. All columns stay and only text (in line_report: nothing) changes; n_chars and the
-like aren't adjusted.
+that hold a digit are variable fields from the start; lines that are equal up to these fields are one
+template. What is left at a leaf is generalised: a place where one token makes up CONSTANT of the lines
+is constant, any other a variable field; the template stands if SOLID of the places that the path to it
+doesn't fix are constant, and a line belongs to it if MATCH of the constants agree. Lines that belong to
+no standing template go on to a child node, chosen by the most frequent of their tokens that not all
+lines of the node have, and so on until a node is a template or lies in too few documents: a leaf has
+any number of templates, and one doesn't hide another.
+
+A template recurs if its lines lie in MIN_DOCS documents. Lines of LONG_TOKENS tokens that are equal
+with all their digits recur from LONG_DOCS documents on. Lines under MIN_TOKENS tokens, and lines of
+which too few tokens are free of digits (SOLID), are templates only of lines that are wholly equal to them.
+Lines of recurring templates are dropped but for the first (smallest doc_id, null last, then line number).
+
+Lines travel as hashes, a document's text twice, by its row. Counts are aggregated before they are
+exchanged; what is known of a key with a large share of all lines is broadcast (at most HOT_KEYS keys
+can have such a share), so that no task holds the lines of one key.
+
+Defined results: null text stays null and has no lines; lines without tokens stay; a text whose lines are
+all dropped becomes empty; rows that share a doc_id are one document for the counts; rows that are equal
+in doc_id and text are one row, and get equal texts; a row with a null doc_id is a document of its own; an
+empty table gives an empty result. All columns stay and only text (in line_report: nothing) changes; n_chars
+and the like aren't adjusted.
 """
 
 from __future__ import annotations
@@ -27,92 +30,162 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm._spark import stored
+from quern.llm._spark import discard, stored
 from quern.types import quoted
 
 LEAD = 3
-MIN_TOKENS = 5
-MIN_DOCS, GENERAL_DOCS = 6, 6
-LONG_TOKENS = 20  # of drop_long_repeats
-CONSTANT, SOLID, MATCH = 0.6, 0.6, 0.9
+MIN_TOKENS = 5  # of a template with fields
+MIN_DOCS = 6
+LONG_TOKENS, LONG_DOCS = 20, 2
+CONSTANT, SOLID, MATCH = 6, 6, 9  # tenths
 FIELD = "<*>"
+HOT_KEYS, HOT_LINES = 4096, 256
 _SPACE = " \t\x0b\f\r"
 
 
+def _masked(line: Column) -> Column:
+    """The look-behind keeps the pattern linear in very long tokens."""
+    return F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD)
+
+
+def _split(line: Column) -> Column:
+    return F.split(F.btrim(line, F.lit(_SPACE)), r"\s+")
+
+
+def _has_fields(line: Column) -> Column:
+    return line.rlike("[0-9]")
+
+
 def _tokens(line: Column) -> Column:
-    """Tokens with variable fields masked. The look-behind keeps the pattern linear in very long tokens."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD)).otherwise(line)
-    return F.split(F.btrim(masked, F.lit(_SPACE)), r"\s+")
+    return _split(F.when(_has_fields(line), _masked(line)).otherwise(line))
 
 
 def _described(line: Column) -> Column:
-    """Number of tokens, leaf and full hash of a line; the tokens are made once, inside the generator that calls this."""
-    lead = lambda t: F.xxhash64(F.size(t), F.slice(t, 1, LEAD))
-    return F.transform(F.array(_tokens(line)), lambda t: F.struct(F.size(t).alias("n"), lead(t).alias("leaf"), F.xxhash64(t).alias("full")))[0]
+    """Of a line: number of tokens, leaf (null: no fields allowed), hash of its template and of its own tokens.
+
+    The tokens are made once, inside the generator that calls this.
+    """
+
+    def of(t: Column) -> Column:
+        n = F.when(t[0] == "", 0).otherwise(F.size(t))
+        own = F.when(_has_fields(line), F.xxhash64(_split(line))).otherwise(F.xxhash64(t))
+        fields = F.when(_has_fields(line), F.size(F.filter(t, lambda x: x == FIELD))).otherwise(0)
+        solid = (n >= MIN_TOKENS) & ((n - fields) * 10 >= n * SOLID)
+        return F.struct(n.alias("n"), F.when(solid, F.xxhash64(n, F.slice(t, 1, LEAD))).alias("leaf"), F.when(solid, F.xxhash64(t)).otherwise(own).alias("full"), F.when(n >= LONG_TOKENS, own).alias("own"))
+
+    return F.transform(F.array(_tokens(line)), of)[0]
+
+
+def _row_of(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """_row and _id, which identify a row by its id and text."""
+    said = F.col(text).cast("string")
+    return [F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.coalesce(said, F.lit(""))).alias("_row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("_id")]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """_row identifies a row by id and text, _doc its document."""
-    text = F.col("text").cast("string")
-    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))
-    return docs.select(row.alias("_row"), F.coalesce(F.col("doc_id").cast("long"), row).alias("_doc"), F.coalesce(text, F.lit("")).alias("_text"))
+    """_row, _id, _doc (the document; of null ids the last ones) and _text."""
+    row, own = _row_of()
+    null = F.lit((1 << 63) - 1) - F.pmod(row, F.lit(1 << 62))
+    return docs.select(row, own, F.coalesce(F.col("doc_id").cast("long"), null).alias("_doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+
+
+def _first_and_docs(lines: DataFrame, *keys: str) -> DataFrame:
+    """keys, _docs, _lines, and the first line; counted in two steps, so that no group is gathered."""
+    by_doc = lines.groupBy(*keys, "_doc").agg(F.min(F.struct("_line", "_row", "_id")).alias("_at"), F.count("*").alias("_lines"))
+    by_key = by_doc.groupBy(*keys).agg(F.count("*").alias("_docs"), F.sum("_lines").alias("_lines"), F.min(F.struct("_doc", "_at")).alias("_first"))
+    return by_key.select(*keys, "_docs", "_lines", F.col("_first._at").alias("_first"))
+
+
+def _meet(lines: DataFrame, keys: DataFrame, on: list[str], total: int, how: str = "inner") -> DataFrame:
+    """lines (of `total` rows) joined with stored keys, of which those of very many lines (_lines) are broadcast."""
+    least = max(HOT_LINES, total // HOT_KEYS)  # so HOT_KEYS at most have as many
+    hot = F.broadcast(keys.where(F.col("_lines") >= least))
+    usual = lines.join(F.broadcast(hot.select(*on)), on, "left_anti").join(keys.where(F.col("_lines") < least), on, how)
+    return lines.join(hot, on).unionByName(usual)
 
 
-def _first_and_docs(lines: DataFrame, key: str, least: int) -> DataFrame:
-    """Keys that lie in `least` documents, with their first line; counted in two steps, so that no group is gathered."""
-    by_doc = lines.groupBy(key, "_doc").agg(F.min(F.struct("_line", "_row")).alias("_at"))
-    by_key = by_doc.groupBy(key).agg(F.count("*").alias("_docs"), F.min(F.struct("_doc", "_at._line", "_at._row")).alias("_first"))
-    return by_key.where(F.col("_docs") >= least).select(key, F.col("_first._row").alias("_first_row"), F.col("_first._line").alias("_first_line"))
+def _later() -> Column:
+    return F.struct("_line", "_row", "_id") != F.col("_first")
 
 
-def dropped_lines(docs: DataFrame, *, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, general_docs: int = GENERAL_DOCS) -> DataFrame:
-    """(_row, _line) of all lines that go."""
+def dropped_lines(docs: DataFrame, *, min_docs: int = MIN_DOCS, long_docs: int | None = LONG_DOCS) -> DataFrame:
+    """(_row, _id, _line) of all lines that go. long_docs None: long lines as others."""
     rows = _rows(docs)
-    later = (F.col("_row") != F.col("_first_row")) | (F.col("_line") != F.col("_first_line"))
-    lines = rows.select("_row", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), _described)).alias("_line", "_d")).where(F.col("_d.n") >= min_tokens)
-    lines = lines.select("_row", "_doc", "_line", F.col("_d.leaf").alias("_leaf"), F.col("_d.full").alias("_full"))
+    lines = rows.select("_row", "_id", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), _described)).alias("_line", "_d")).where("_d.n > 0")
+    lines = lines.select("_row", "_id", "_doc", "_line", F.col("_d.n").alias("_n"), F.col("_d.leaf").alias("_leaf"), F.col("_d.full").alias("_full"), F.col("_d.own").alias("_own"))
     lines = stored(lines, "lines")
-    recurring = _first_and_docs(lines, "_full", min_docs)
-    exact = lines.join(recurring, "_full").where(later).select("_row", "_line")
-
-    rest = lines.join(recurring.select("_full"), "_full", "left_anti")
-    leaves = _first_and_docs(rest, "_leaf", general_docs).select("_leaf")
-    marked = rest.join(leaves, "_leaf").groupBy("_row").agg(F.min("_doc").alias("_doc"), F.collect_set(F.struct("_line", "_leaf")).alias("_marks"))
-    texts = rows.select("_row", "_text").join(marked, "_row").withColumn("_all", F.split("_text", "\n"))
-    found = texts.select("_row", "_doc", "_all", F.explode("_marks").alias("_m"))
-    found = found.select("_row", "_doc", F.col("_m._line").alias("_line"), F.col("_m._leaf").alias("_leaf"), _tokens(F.element_at("_all", F.col("_m._line") + 1)).alias("_tokens"))
-    found = stored(found.dropDuplicates(["_row", "_line"]), "leaf-lines")
-    tokens = found.select("_leaf", F.posexplode("_tokens").alias("_pos", "_token")).groupBy("_leaf", "_pos", "_token").agg(F.count("*").alias("_n"))
-    places = tokens.groupBy("_leaf", "_pos").agg(F.max(F.struct("_n", "_token")).alias("_top"), F.sum("_n").alias("_all"))
-    constant = F.when(F.col("_top._n") >= CONSTANT * F.col("_all"), F.col("_top._token"))
-    templates = places.groupBy("_leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("_pos", constant.alias("c")))), lambda x: x["c"]).alias("_template"))
-    templates = templates.withColumn("_constants", F.size(F.filter("_template", lambda x: x.isNotNull()))).where(F.col("_constants") >= SOLID * F.size("_template"))
-    agree = F.aggregate(F.zip_with("_tokens", "_template", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))), F.lit(0), lambda s, x: s + x)
-    general = found.join(templates, "_leaf").where(agree >= MATCH * F.col("_constants")).select("_row", "_doc", "_line", "_leaf")
-    wide = general.join(_first_and_docs(general, "_leaf", general_docs), "_leaf").where(later).select("_row", "_line")
-    return exact.union(wide).distinct()
-
-
-def repeated_lines(docs: DataFrame, *, least: int = 1, most: int | None = None, min_docs: int) -> DataFrame:
-    """(_row, _line) of all lines of `least` to `most` tokens that are equal, digits included, to an earlier one, where they lie in min_docs documents."""
-    described = lambda line: F.transform(F.array(F.split(F.btrim(line, F.lit(_SPACE)), r"\s+")), lambda t: F.struct(F.when(t[0] == "", 0).otherwise(F.size(t)).alias("n"), F.xxhash64(t).alias("full")))[0]
-    lines = _rows(docs).select("_row", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), described)).alias("_line", "_d")).where(F.col("_d.n") >= least)
-    if most is not None:
-        lines = lines.where(F.col("_d.n") <= most)
-    lines = stored(lines.select("_row", "_doc", "_line", F.col("_d.full").alias("_full")), "same-lines")
-    later = (F.col("_row") != F.col("_first_row")) | (F.col("_line") != F.col("_first_line"))
-    return lines.join(_first_and_docs(lines, "_full", min_docs), "_full").where(later).select("_row", "_line").distinct()
-
-
-def _with_drops(docs: DataFrame, dropped: DataFrame | None = None, **options) -> DataFrame:
+    total = lines.count()
+    few = F.lit(False) if long_docs is None else (F.col("_n") >= LONG_TOKENS) & (F.col("_docs") >= long_docs)
+    keys = _first_and_docs(lines, "_full", "_n").where((F.col("_docs") >= min_docs) | few)
+    keys = stored(keys.drop("_n"), "line-keys")
+    marked = stored(_meet(lines, keys, ["_full"], total, "left"), "marked-lines")
+    discard(lines)
+    gone = [marked.where(F.col("_docs") >= min_docs).where(_later())]
+    rest = marked.where(F.col("_docs").isNull() | (F.col("_docs") < min_docs)).drop("_docs", "_lines", "_first")
+    if long_docs is not None:
+        same = _first_and_docs(marked.where(F.col("_docs") < min_docs).drop("_docs", "_lines", "_first"), "_full", "_own").where(F.col("_docs") >= long_docs)
+        gone.append(marked.where(F.col("_docs") < min_docs).drop("_docs", "_lines", "_first").join(same, ["_full", "_own"]).where(_later()))
+    gone += _generalised(rows, rest.where("_leaf IS NOT NULL"), total, min_docs)
+    out = gone[0].select("_row", "_id", "_line")
+    for x in gone[1:]:
+        out = out.union(x.select("_row", "_id", "_line"))
+    return out
+
+
+def _generalised(rows: DataFrame, rest: DataFrame, total: int, min_docs: int) -> list[DataFrame]:
+    """The lines of generalised templates that go, by depth of the tree."""
+    leaves = stored(_first_and_docs(rest, "_leaf").where(F.col("_docs") >= min_docs).select("_leaf", "_lines"), "leaves")
+    marks = _meet(rest.select("_row", "_id", "_doc", "_line", "_leaf"), leaves, ["_leaf"], total)
+    marks = marks.groupBy("_row", "_id").agg(F.min("_doc").alias("_doc"), F.collect_set(F.struct("_line", "_leaf")).alias("_marks"))
+    texts = rows.select("_row", "_id", "_text").join(marks, ["_row", "_id"]).withColumn("_all", F.split("_text", "\n"))
+    found = texts.select("_row", "_id", "_doc", "_all", F.explode("_marks").alias("_m")).select("_row", "_id", "_doc", "_m._line", F.col("_m._leaf").alias("_node"), _tokens(F.element_at("_all", F.col("_m._line") + 1)).alias("_t"))
+    found = found.dropDuplicates(["_row", "_id", "_line"])
+    line = ["_row", "_id", "_line"]
+    tokens = stored(found.select(*line, "_doc", "_node", F.size("_t").alias("_n"), F.posexplode(F.transform("_t", lambda x: F.xxhash64(x))).alias("_pos", "_token")), "line-tokens")
+    gone, fixed = [], LEAD
+    while not tokens.isEmpty():
+        n_tokens = tokens.count()
+        sizes = tokens.where("_pos = 0").groupBy("_node").agg(F.count("*").alias("_size"))
+        counts = tokens.groupBy("_node", "_pos", "_token").agg(F.count("*").alias("_lines")).where(F.col("_lines") >= min_docs)
+        constant = F.col("_lines") * 10 >= F.col("_size") * CONSTANT
+        counts = stored(counts.join(sizes, "_node").select("_node", "_pos", "_token", "_lines", constant.alias("_constant"), (F.col("_lines") < F.col("_size")).alias("_parts")), "token-counts")
+        solid = counts.where("_constant").groupBy("_node").agg(F.count("*").alias("_constants"), F.sum("_lines").alias("_lines"))
+        each = _meet(tokens, counts, ["_node", "_pos", "_token"], n_tokens).groupBy(*line, "_node").agg(
+            F.min("_doc").alias("_doc"), F.min("_n").alias("_n"), F.sum(F.col("_constant").cast("int")).alias("_agree"),
+            F.max(F.when(F.col("_parts"), F.struct("_lines", (-F.col("_pos")).alias("_at"), "_token"))).alias("_next"),
+        )
+        solid = stored(solid, "solid-nodes")
+        each = _meet(each, solid, ["_node"], n_tokens, "left")
+        stands = (F.col("_constants") - fixed) * 10 >= (F.col("_n") - fixed) * SOLID
+        each = stored(each.withColumn("_hit", F.coalesce(stands & (F.col("_agree") * 10 >= F.col("_constants") * MATCH), F.lit(False))), "line-nodes")
+        hits = each.where("_hit").select(*line, "_doc", "_node")
+        recurring = stored(_first_and_docs(hits, "_node").where(F.col("_docs") >= min_docs), "templates")
+        gone.append(_meet(hits, recurring, ["_node"], n_tokens).where(_later()))
+        below = each.where("NOT _hit AND _next IS NOT NULL").select(*line, "_doc", F.xxhash64("_node", "_next._at", "_next._token").alias("_node"))
+        enough = stored(_first_and_docs(below, "_node").where(F.col("_docs") >= min_docs).select("_node", "_lines"), "children")
+        below = _meet(below, enough, ["_node"], n_tokens).drop("_lines")
+        before, tokens = tokens, stored(tokens.drop("_node", "_doc").join(below, line), "line-tokens")
+        discard(before)
+        fixed += 1
+    return gone
+
+
+def repeated_lines(docs: DataFrame, *, least: int = 1, min_docs: int) -> DataFrame:
+    """(_row, _id, _line) of all lines of `least` tokens that are equal, digits included, to an earlier one, where they lie in min_docs documents."""
+    described = lambda line: F.transform(F.array(_split(line)), lambda t: F.struct(F.when(t[0] == "", 0).otherwise(F.size(t)).alias("n"), F.xxhash64(t).alias("full")))[0]
+    lines = _rows(docs).select("_row", "_id", "_doc", F.posexplode(F.transform(F.split("_text", "\n"), described)).alias("_line", "_d")).where(F.col("_d.n") >= least)
+    lines = stored(lines.select("_row", "_id", "_doc", "_line", F.col("_d.full").alias("_full")), "same-lines")
+    keys = stored(_first_and_docs(lines, "_full").where(F.col("_docs") >= min_docs), "same-keys")
+    return _meet(lines, keys, ["_full"], lines.count()).where(_later()).select("_row", "_id", "_line")
+
+
+def _with_drops(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """_all (the row as a struct, so that no name clashes), _text, _drop (line numbers that go, or null), _kept."""
-    dropped = dropped_lines(docs, **options) if dropped is None else dropped
-    drops = dropped.groupBy(F.col("_row").alias("_key")).agg(F.collect_list("_line").alias("_drop"))
-    text = F.col("text").cast("string")
-    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))
-    packed = docs.select(row.alias("_row"), text.alias("_text"), F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_all"))
-    joined = packed.join(drops, F.col("_row") == F.col("_key"), "left")
-    kept = F.array_join(F.filter(F.split("_text", "\n"), lambda x, i: ~F.array_contains("_drop", i)), "\n")
+    drops = dropped.groupBy("_row", "_id").agg(F.collect_set("_line").alias("_drop"))
+    packed = docs.select(*_row_of(), F.col("text").cast("string").alias("_text"), F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_all"))
+    joined = packed.join(drops, ["_row", "_id"], "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(F.split("_text", "\n")) - 1), "_drop")
+    kept = F.transform(F.array(F.split("_text", "\n")), lambda x: F.array_join(F.transform(stay, lambda i: x[i]), "\n"))[0]
     return joined.withColumn("_kept", F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept))
 
 
@@ -120,12 +193,9 @@ def _cut(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out.select(*(F.col("_kept").cast(docs.schema[c].dataType).alias(c) if c.lower() == "text" else F.col("_all")[c].alias(c) for c in docs.columns))
 
 
-def drop_recurring_lines(docs: DataFrame, *, short: bool = False, **options) -> DataFrame:
-    """docs with the recurring lines cut out of text; with short, also lines under MIN_TOKENS tokens that recur exactly."""
-    dropped = dropped_lines(docs, **options)
-    if short:
-        dropped = dropped.union(repeated_lines(docs, most=options.get("min_tokens", MIN_TOKENS) - 1, min_docs=options.get("min_docs", MIN_DOCS))).distinct()
-    return _cut(docs, _with_drops(docs, dropped))
+def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:
+    """docs with the recurring lines cut out of text."""
+    return _cut(docs, _with_drops(docs, dropped_lines(docs, **options)))
 
 
 def drop_long_repeats(docs: DataFrame, *, least: int = LONG_TOKENS) -> DataFrame:
@@ -135,7 +205,8 @@ def drop_long_repeats(docs: DataFrame, *, least: int = LONG_TOKENS) -> DataFrame
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_bytes, kept_sha256 of every row."""
-    out = _with_drops(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = _with_drops(docs, dropped_lines(docs, **options))
     kept = F.coalesce("_kept", F.lit(""))
     return out.select(
         F.col("_all.doc_id").alias("doc_id"), F.when(F.col("_text").isNull(), 0).otherwise(F.size(F.split("_text", "\n"))).cast("long").alias("n_lines"),

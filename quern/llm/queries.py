@@ -57,23 +57,32 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = """
-WITH d AS (SELECT doc_id, coalesce(text, '') AS said, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, i, list_transform(list_filter(regexp_split_to_array(ls[i], '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''),
-      lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS said, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i, list_filter(regexp_split_to_array(ls[i], '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS r
       FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
-n AS MATERIALIZED (SELECT doc_id, i, t, [CAST(len(t) AS VARCHAR)] || t[1:3] AS leaf FROM l WHERE len(t) >= 5),
+f AS (SELECT *, list_transform(r, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m FROM l WHERE len(r) > 0),
+n AS MATERIALIZED (SELECT *, CASE WHEN solid THEN m ELSE r END AS t
+      FROM (SELECT *, len(r) >= 5 AND 10 * len(list_filter(m, lambda x: x <> '<*>')) >= 6 * len(r) AS solid FROM f)),
 e AS MATERIALIZED (SELECT t, min({'d': doc_id, 'i': i}) AS f FROM n GROUP BY t HAVING count(DISTINCT doc_id) >= 6),
 x AS (SELECT n.doc_id, n.i FROM n JOIN e USING (t) WHERE {'d': n.doc_id, 'i': n.i} <> e.f),
-r AS MATERIALIZED (SELECT * FROM n WHERE t NOT IN (SELECT t FROM e)),
-m AS MATERIALIZED (SELECT * FROM r WHERE leaf IN (SELECT leaf FROM r GROUP BY leaf HAVING count(DISTINCT doc_id) >= 6)),
-k AS (SELECT leaf, p, t[p] AS w, count(*) AS c FROM (SELECT leaf, t, unnest(range(1, len(t) + 1)) AS p FROM m) GROUP BY ALL),
-q AS (SELECT leaf, p, max({'c': c, 'w': w}) AS top, sum(c) AS a FROM k GROUP BY ALL),
-z AS (SELECT leaf, list(CASE WHEN top.c >= 0.6 * a THEN top.w END ORDER BY p) AS z FROM q GROUP BY leaf),
-y AS (SELECT leaf, z, len(list_filter(z, lambda v: v IS NOT NULL)) AS s FROM z),
-g AS MATERIALIZED (SELECT m.doc_id, m.i, m.leaf FROM m JOIN y USING (leaf) WHERE y.s >= 0.6 * len(y.z)
-      AND len(list_filter(range(1, len(m.t) + 1), lambda p: coalesce(m.t[p] = y.z[p], false))) >= 0.9 * y.s),
-h AS (SELECT leaf, min({'d': doc_id, 'i': i}) AS f FROM g GROUP BY leaf HAVING count(DISTINCT doc_id) >= 6),
-b AS (SELECT doc_id, list(i) AS drops FROM (SELECT * FROM x UNION SELECT g.doc_id, g.i FROM g JOIN h USING (leaf) WHERE {'d': g.doc_id, 'i': g.i} <> h.f) GROUP BY doc_id),
+u AS MATERIALIZED (SELECT r, min({'d': doc_id, 'i': i}) AS f FROM n WHERE len(r) >= 20 GROUP BY r HAVING count(DISTINCT doc_id) >= 2),
+y AS (SELECT n.doc_id, n.i FROM n JOIN u USING (r) WHERE {'d': n.doc_id, 'i': n.i} <> u.f),
+w AS (
+  SELECT doc_id, i, m, [CAST(len(m) AS VARCHAR)] || m[1:3] AS node, 3 AS fixed, false AS hit FROM n WHERE solid AND t NOT IN (SELECT t FROM e)
+  UNION ALL
+  SELECT doc_id, i, m, CASE WHEN hits THEN node ELSE node || [best.t || ' ' || best.p] END, fixed + 1, hits FROM (
+    SELECT doc_id, i, m, node, fixed, best, coalesce(10 * (k - fixed) >= 6 * (len(m) - fixed) AND 10 * agree >= 9 * k, false) AS hits FROM (
+      SELECT doc_id, i, m, node, fixed, max(k) AS k, count(*) FILTER (firm) AS agree, max({'c': c, 'p': -p, 't': tok}) FILTER (c >= 6 AND c < size) AS best FROM (
+        SELECT *, count(DISTINCT CASE WHEN firm THEN p END) OVER (PARTITION BY node) AS k FROM (
+          SELECT *, c >= 6 AND 10 * c >= 6 * size AS firm FROM (
+            SELECT *, count(*) OVER (PARTITION BY node, p, tok) AS c, count(*) OVER (PARTITION BY node, p) AS size FROM (
+              SELECT *, unnest(range(1, len(m) + 1)) AS p, unnest(m) AS tok FROM (
+                SELECT *, count(DISTINCT doc_id) OVER (PARTITION BY node) AS docs FROM w WHERE NOT hit) WHERE docs >= 6))))
+      GROUP BY doc_id, i, m, node, fixed)) WHERE hits OR best IS NOT NULL
+),
+g AS MATERIALIZED (SELECT doc_id, i, node FROM w WHERE hit),
+h AS (SELECT node, min({'d': doc_id, 'i': i}) AS f FROM g GROUP BY node HAVING count(DISTINCT doc_id) >= 6),
+b AS (SELECT doc_id, list(i) AS drops FROM (SELECT * FROM x UNION SELECT * FROM y UNION SELECT g.doc_id, g.i FROM g JOIN h USING (node) WHERE {'d': g.doc_id, 'i': g.i} <> h.f) GROUP BY doc_id),
 o AS (SELECT d.doc_id, len(d.ls) AS n_lines, coalesce(len(b.drops), 0) AS n_dropped, CASE WHEN b.drops IS NULL THEN d.said
       ELSE array_to_string(list_transform(list_filter(range(1, len(d.ls) + 1), lambda j: NOT list_contains(b.drops, j)), lambda j: d.ls[j]), chr(10)) END AS kept
       FROM d LEFT JOIN b USING (doc_id))
