@@ -8,14 +8,19 @@ the longer last piece.
 
 No piece has a space after another character (checked when a model is read; with a model where one
 has, a text is a single chunk), so the best path of a text is the chain of the best paths of its
-chunks "spaces + non-spaces". Equal chunks of a slice of texts are encoded once, and all distinct
-chunks advance through the automaton in lockstep, as NumPy vectors.
+chunks "spaces + non-spaces". Equal chunks of a slice of texts are encoded once (found by hash, compared
+by bytes), and all distinct chunks advance through the automaton in lockstep, as NumPy vectors.
+
+A chunk over LONG bytes (text without spaces) is cut into lanes, which advance beside each other. A lane
+starts WARM bytes early from a guess. Where the scores at its border, relative to each other, are those of the
+lane before, all its decisions are right, as they depend on nothing else; where they aren't, the lane is run
+again from the true ones (once for all lanes of equal bytes and scores), so the result doesn't depend on lanes.
 
 Spaces are kept as byte 0x20 inside the automaton, so a literal U+2581 of a text is encoded as bytes
 and every text decodes to itself.
 
 Defined results: null gives null ids and no tokens, an empty text gives no ids; decode inverts encode
-exactly, whatever the text; repeated rows and null ids keep their rows; columns of the result's names
+exactly, whatever the text; a null id and one that the model doesn't have decode to nothing; repeated rows and null ids keep their rows; columns of the result's names
 are replaced, all others stay.
 """
 
@@ -38,6 +43,7 @@ from quern.llm import _text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SLICE_BYTES = 8 << 20
+LONG, LANE, WARM = 2048, 512, 256
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -152,16 +158,20 @@ class Automaton:
             np.concatenate([[0], np.cumsum(sizes)]), all(b" " not in w.lstrip(b" ") for w in words), prefix,
         )
 
-    def best(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the best path of every span end to end, their number by span, and the spans' scores."""
-        size = ends - starts
-        order = np.argsort(-size, kind="stable")
-        start, size = starts[order], size[order]
+    def _forward(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, given: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best scores and back pointers of the size + 1 positions of every span, and where each span's begin; sizes fall.
+
+        given: the scores of the first positions, of a single span.
+        """
         at = np.concatenate([[0], np.cumsum(size + 1)])
         score = np.full(at[-1], -np.inf)
-        score[at[:-1]] = 0
         back = np.zeros(at[-1], np.int32)  # state of the last piece; -n: a character of n bytes as bytes
         at = at[:-1]
+        score[at] = 0
+        known = 0
+        if given is not None:
+            known = len(given) - 1
+            score[: known + 1] = given
         state = np.zeros(len(size), np.int32)
         longest = int(size[0]) if len(size) else 0
         active_at = np.searchsorted(-size, -np.arange(longest), "left")  # spans longer than t
@@ -170,12 +180,14 @@ class Automaton:
             k = active_at[t]
             byte = data[start[:k] + t]
             state = self.step[state[:k], byte]
-            here = at[:k] + t + 1
             char = np.where((byte & 0xC0) == 0x80, char[:k] + 1, 1)
+            if t < known:
+                continue
+            here = at[:k] + t + 1
             last = start[:k] + t + 1
             done = (t + 1 == size[:k]) | ((data[np.minimum(last, len(data) - 1)] & 0xC0) != 0x80)
-            top = np.where(done, score[here - char] + self.fallback, -np.inf)
-            who = (-char).astype(np.int32)
+            top = np.where(done, score[np.maximum(here - char, at[:k])] + self.fallback, -np.inf)
+            who = (-np.minimum(char, t + 1)).astype(np.int32)
             out = self.output[state]
             lane = np.flatnonzero(out)
             out = out[lane]
@@ -189,9 +201,73 @@ class Automaton:
                 lane, out = lane[more], out[more]
             score[here] = top
             back[here] = who
-        total = score[at + size]
+        return score, back, at
+
+    def _lanes(self, data: np.ndarray, start: int, end: int) -> list[tuple[int, int, int]]:
+        """(first byte read, border, end) of the lanes of a long chunk; they begin with characters."""
+        cuts = [start]
+        for x in range(start + LANE, end - LANE + 1, LANE):
+            while x < end and data[x] & 0xC0 == 0x80:
+                x += 1
+            if x > cuts[-1] and x < end:
+                cuts.append(x)
+        lanes = []
+        for k, x in enumerate(cuts):
+            first = max(start, x - WARM)
+            while first > start and data[first] & 0xC0 == 0x80:
+                first -= 1
+            lanes.append((first, x, cuts[k + 1] if k + 1 < len(cuts) else end))
+        return lanes
+
+    def _long(self, data: np.ndarray, lanes: list[tuple[int, int, int]], scores: list[np.ndarray], backs: list[np.ndarray]) -> tuple[np.ndarray, float]:
+        """Ids and score of the best path of a long chunk from its lanes."""
+        start, end = lanes[0][0], lanes[-1][2]
+        reach = int(max(self.length.max(), 4))
+        back = np.zeros(end - start + 1, np.int32)
+        kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        before = np.zeros(0)  # true scores, less a constant, of the positions up to the border
+        for (first, border, to), score, pointers in zip(lanes, scores, backs, strict=True):
+            if border > start:
+                tail = before[-min(reach, len(before) - 1) - 1 :]
+                own = score[: border - first + 1][-len(tail) :]
+                if len(own) < len(tail) or not np.array_equal(own - own[-1], tail - tail[-1]):
+                    first = border - len(tail) + 1
+                    relative = tail - tail[-1]
+                    key = relative.tobytes() + data[first : to + 1].tobytes()
+                    if key not in kept:
+                        kept[key] = self._forward(data, np.array([first]), np.array([to - first]), relative)[:2]
+                    score, pointers = kept[key]
+            back[border - start + 1 : to - start + 1] = pointers[border - first + 1 :]
+            before = score
+        steps, length, piece = back.tolist(), self.length.tolist(), self.piece.tolist()
+        raw, ids, at, total = data[start:end].tobytes(), [], end - start, 0.0
+        points, byte_ids = self.score.tolist(), self.byte_ids.tolist()
+        while at:
+            who = steps[at]
+            if who > 0:
+                ids.append(piece[who])
+                total += points[who]
+                at -= length[who]
+            else:
+                ids += [byte_ids[b] for b in raw[at + who : at][::-1]]
+                total += self.fallback
+                at += who
+        return np.array(ids[::-1], np.int64), total
+
+    def best(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the best path of every span end to end, their number by span, and the spans' scores."""
+        whole = np.flatnonzero(ends - starts <= LONG)
+        lanes = {int(i): self._lanes(data, int(starts[i]), int(ends[i])) for i in np.flatnonzero(ends - starts > LONG)}
+        flat = [x for own in lanes.values() for x in own]
+        start = np.concatenate([starts[whole], np.array([x[0] for x in flat], np.int64)])
+        size = np.concatenate([ends[whole] - starts[whole], np.array([x[2] - x[0] for x in flat], np.int64)])
+        order = np.argsort(-size, kind="stable")
+        start, size = start[order], size[order]
+        score, back, at = self._forward(data, start, size)
         spans, places, ids = [], [], []
-        lane, left = np.flatnonzero(size > 0), size[size > 0].copy()
+        of = np.concatenate([whole, np.full(len(flat), -1)])[order]
+        lane = np.flatnonzero((size > 0) & (of >= 0))
+        left = size[lane].copy()
         while len(lane):
             who = back[at[lane] + left].astype(np.int64)
             plain = who > 0
@@ -206,15 +282,22 @@ class Automaton:
             left = left - np.where(plain, self.length[np.maximum(who, 0)], -who)
             keep = left > 0
             lane, left = lane[keep], left[keep]
-        if spans:
-            span, place, found = order[np.concatenate(spans)], np.concatenate(places), np.concatenate(ids)
-            sort = np.lexsort((place, span))
-            found, count = found[sort], np.bincount(span, minlength=len(size))
-        else:
-            found, count = np.zeros(0, np.int64), np.zeros(len(size), np.int64)
-        by_span = np.empty(len(size))
-        by_span[order] = total
-        return found, count, by_span
+        by_span = np.empty(len(starts))
+        by_span[of[of >= 0]] = score[at + size][of >= 0]
+        span = of[np.concatenate(spans)] if spans else np.zeros(0, np.int64)
+        place, found = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, ids))
+        if lanes:
+            where = np.empty(len(order), np.int64)
+            where[order] = np.arange(len(order))
+            k = len(whole)
+            for i, own in lanes.items():
+                cut = [slice(at[j], at[j] + size[j] + 1) for j in where[k : k + len(own)]]
+                k += len(own)
+                long_ids, by_span[i] = self._long(data, own, [score[c] for c in cut], [back[c] for c in cut])
+                span = np.concatenate([span, np.full(len(long_ids), i)])
+                place, found = np.concatenate([place, np.arange(len(long_ids))]), np.concatenate([found, long_ids])
+        sort = np.lexsort((place, span))
+        return found[sort], np.bincount(span, minlength=len(starts)), by_span
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each text's bounds, and its score."""
@@ -232,7 +315,7 @@ class Automaton:
         cut[offsets[:-1][size > 0]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
-        _, only, which = np.unique(_text.hash_spans(data, starts, ends, fold=False), return_index=True, return_inverse=True)
+        only, which = _distinct(data, starts, ends)
         ids, count, score = self.best(data, starts[only], ends[only])
         begin = np.concatenate([[0], np.cumsum(count)])[:-1]
         out = ids[_text.spread(begin[which], count[which])]
@@ -243,8 +326,10 @@ class Automaton:
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all texts end to end and their offsets."""
-        size = (self.surface_at[1:] - self.surface_at[:-1])[ids]
-        data = self.surface[_text.spread(self.surface_at[:-1][ids], size)]
+        n = len(self.surface_at) - 1
+        ids = np.where((ids < 0) | (ids >= n), n, ids)
+        size = np.append(np.diff(self.surface_at), 0)[ids]
+        data = self.surface[_text.spread(self.surface_at[ids], size)]
         offsets = np.concatenate([[0], np.cumsum(size)])[bounds]
         if self.prefix:
             full = np.flatnonzero(np.diff(offsets))
@@ -255,6 +340,21 @@ class Automaton:
         return data, offsets
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of all equal chunks, and for every chunk which; the chunks tile the data. A chunk whose bytes aren't those of its hash's first one is its own."""
+    _, only, which = np.unique(_text.hash_spans(data, starts, ends, fold=False), return_index=True, return_inverse=True)
+    size = ends - starts
+    first = only[which]
+    other = size[first] != size
+    differ = np.flatnonzero(data[_text.spread(starts[first], np.where(other, 0, size))] != (data if not other.any() else data[_text.spread(starts, np.where(other, 0, size))]))
+    if len(differ):
+        bounds = np.cumsum(np.where(other, 0, size))
+        other[np.searchsorted(bounds, differ, "right")] = True
+    own = np.flatnonzero(other)
+    which[own] = len(only) + np.arange(len(own))
+    return np.concatenate([only, own]), which
+
+
 _loaded: dict[bytes, Automaton] = {}
 
 
@@ -312,8 +412,8 @@ def decode(df: DataFrame, *, model: str = MODEL, column: str = "ids", to: str =
         for batch in batches:
             ids = batch.column(column)
             null = np.asarray(ids.is_null())
-            flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            lengths = np.array([0 if x is None else x for x in pc.list_value_length(ids).to_pylist()], np.int64)
+            flat = pc.fill_null(ids.flatten().cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
+            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = own.decode(flat, np.concatenate([[0], np.cumsum(lengths)]))
             texts = [None if null[d] else data[offsets[d] : offsets[d + 1]].tobytes().decode("utf-8", "replace") for d in range(len(null))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, to])
