@@ -18,8 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is named (as in tests), a folder of this machine."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/quern-checkpoints"
+    """The cluster's checkpoint folder. Without one a session of one machine uses a folder of its own; any other must name it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{tempfile.gettempdir()}/quern-checkpoints"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -49,14 +54,29 @@ def discard(df: DataFrame) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimiser's own estimate of the size of df, which for a file scan is the size of its files."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else 1 << 30
+    """Bytes behind df: what the optimiser knows of its leaves, which for a file scan is the size of its files, whatever is projected."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size if size < 1 << 60 else 1 << 30 for size in sizes)
 
 
 def buckets_for(df: DataFrame, per_bucket: int = BUCKET_BYTES) -> int:
-    """Buckets of a blob exchange: in proportion to the input, so that a bucket keeps its size."""
-    return max(8, min(1 << 16, math.ceil(input_bytes(df) / per_bucket)))
+    """Buckets of a blob exchange: in proportion to the input without bound, so that a bucket keeps its size."""
+    return max(8, math.ceil(input_bytes(df) / per_bucket))
+
+
+def clashes(df: DataFrame) -> DataFrame | None:
+    """Values of a that stand with several values of b; a and b are independent 64-bit hashes of one content. None where there are none."""
+    found = stored(df.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high").select(F.col("a").alias("_clash")), "clashes")
+    return None if found.isEmpty() else found
+
+
+def with_node(df: DataFrame, found: DataFrame | None) -> DataFrame:
+    """df with node in place of a and b: a, or where different contents share an a, a hash of both."""
+    if found is None:
+        return df.withColumnRenamed("a", "node").drop("b")
+    joined = df.join(found, df["a"] == found["_clash"], "left")
+    return joined.withColumn("node", F.when(F.col("_clash").isNull(), F.col("a")).otherwise(F.xxhash64("a", "b"))).drop("a", "b", "_clash")
 
 
 def remainder(doc_id: Column, of: int) -> Column:
@@ -78,7 +98,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(a, b) long edges -> (node, component) for every node with an edge; component is its smallest node.
+    """(a, b) edges -> (node, component) for every node with an edge; component is its smallest node.
 
     Alternates large-star and small-star contraction; every round is written out. No node's
     neighbours are ever gathered: a hub costs one partial minimum per task. Self loops and nulls are ignored.

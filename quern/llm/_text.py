@@ -9,12 +9,13 @@ four words has one shingle, its whole sequence.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SHINGLE = 5
-PIECE = 1 << 20  # bytes hashed at once; a longer word makes a longer piece
 M64 = (1 << 64) - 1
 
 IS_SEP = np.zeros(256, bool)
@@ -37,28 +38,11 @@ def seeded(seed: int, n: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-BASE = 0x9E3779B97F4A7C17 | 3
-_CODE = seeded(11, 256)
-_FOLD = _CODE.copy()
-_FOLD[65:91] = _FOLD[97:123]
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2**64, at least n of each."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, 1 << 16)
-        inverse = pow(BASE, -1, 1 << 64)
-        made = []
-        for b in (BASE, inverse):
-            out = np.ones(1, np.uint64)
-            step = b
-            while len(out) < n:
-                out = np.concatenate([out, out * np.uint64(step)])
-                step = step * step & M64
-            made.append(out)
-        _powers[:] = made
-    return _powers[0], _powers[1]
+LONG = 64  # bytes; longer spans are hashed one by one
+SEED = np.uint64(0x9E3779B97F4A7C15)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MASKS = np.array([M64 >> (64 - 8 * k) if k else 0 for k in range(9)], np.uint64)
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -99,22 +83,33 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """64-bit hashes of disjoint ascending spans, piece by piece, so that memory follows PIECE."""
-    out = np.empty(len(starts), np.uint64)
-    code = _FOLD if fold else _CODE
-    at = 0
-    while at < len(starts):
-        low = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, low + PIECE, "right")))
-        part = data[low : ends[to - 1]]
-        power, inverse = powers(len(part) + 1)
-        total = np.empty(len(part) + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(code[part] * power[: len(part)], out=total[1:])
-        s, e = starts[at:to] - low, ends[at:to] - low
-        out[at:to] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        at = to
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True, long: int = LONG) -> np.ndarray:
+    """64-bit hashes of spans in ascending order.
+
+    Eight bytes at a time go through a mixer that isn't linear in them, so no pattern of the bytes makes
+    hashes equal (a polynomial modulo 2**64 has such patterns); spans over `long` bytes go through BLAKE2b.
+    """
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * SEED + SEED)
+    if not len(starts):
+        return out
+    low, high = int(starts[0]), int(ends.max())
+    padded = np.zeros(high - low + 8, np.uint8)
+    padded[:-8] = _LOWER[data[low:high]] if fold else data[low:high]
+    eight = np.ndarray((high - low + 1,), "<u8", padded, strides=(1,))
+    begin = starts - low
+    active = np.flatnonzero(size <= long)
+    done = 0
+    while len(active):
+        left = size[active] - done
+        out[active] = mix((out[active] ^ (eight[begin[active] + done] & _MASKS[np.minimum(left, 8)])) + SEED)
+        active = active[left > 8]
+        done += 8
+    rest = np.flatnonzero(size > long)
+    if len(rest):
+        raw = memoryview(padded)
+        digest = b"".join(blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(begin[rest].tolist(), (ends[rest] - low).tolist(), strict=True))
+        out[rest] = np.frombuffer(digest, "<u8")
     return out
 
 

@@ -12,9 +12,11 @@
    hashes of its distinct windows; a window found in another shard's run by binary search is a repeat.
 4. Spans are merged by text; equal texts are one node throughout, and are covered whole if long enough.
 
-Texts are identified by a 64-bit hash of their bytes, windows in step 3 too; all else compares bytes or
-64-bit hashes with lengths. No group is held by one task: shards are bounded by SPLIT and by the number
-of buckets, which follows the input.
+Identity: a text is two independent 64-bit hashes of its bytes (texts that share one only are told apart);
+contexts of one anchor and windows in step 3 are 64-bit hashes that aren't linear in the bytes. The rolling
+hash that chooses anchors decides nothing: contexts that it puts together are compared. A run of equal
+contexts (periodic text) is one entry. Shards are bounded by SPLIT and by the number of buckets, which
+follows the input; all occurrences of one anchor in different texts meet in one bucket of step 1, as hashes.
 
 Defined results: null text is empty (0 bytes, digest of nothing); a text under LENGTH bytes keeps all
 its bytes; overlapping repeats count; repeated rows remove each other; null ids keep their rows; an
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import _text
-from quern.llm._spark import buckets_for, stored
+from quern.llm._spark import buckets_for, clashes, discard, stored, with_node
 
 LENGTH, GRAM = 200, 100
 SPLIT = 8192
@@ -50,8 +52,28 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(x) - width + 1], out[width - n : width - n + len(x) - width + 1])
 
 
+_BASE = 0x9E3779B97F4A7C17
+_CODE = _text.seeded(11, 256)
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _BASE and of its inverse modulo 2**64, at least n of each."""
+    if not _powers or len(_powers[0]) < n:
+        n = max(n, 1 << 16)
+        made = []
+        for step in (_BASE, pow(_BASE, -1, 1 << 64)):
+            out = np.ones(1, np.uint64)
+            while len(out) < n:
+                out = np.concatenate([out, out * np.uint64(step)])
+                step = step * step & _text.M64
+            made.append(out)
+        _powers[:] = made
+    return _powers[0], _powers[1]
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of all anchors: hash of the string, hash of the context, document, position, bytes before and after."""
+    """Of all anchors: hash of the string, hash of the context, document, position, bytes before and after, and on how many bytes further it recurs with equal contexts."""
     side = length - gram
     parts = []
     windows = np.maximum(np.diff(offsets) - length + 1, 0)
@@ -61,9 +83,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
         low, high = at, min(n, at + PIECE + length - 1)  # window starts [at, at + PIECE)
         left = max(0, low - side)
         part = data[left : min(n, high + side)]
-        power, inverse = _text.powers(len(part) + 1)
+        power, inverse = powers(len(part) + 1)
         total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_text._CODE[part] * power[: len(part)], out=total[1:])
+        np.cumsum(_CODE[part] * power[: len(part)], out=total[1:])
         h = _text.mix((total[gram:] - total[:-gram]) * inverse[: len(part) - gram + 1])
         own = h[low - left : high - left - gram + 1]
         packed = (own & ~np.uint64(_LOW)) | (np.uint64(_LOW) - np.arange(len(own), dtype=np.uint64))
@@ -75,21 +97,27 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
         p = np.sort(_LOW - (np.unique(least[inside]) & np.uint64(_LOW)).astype(np.int64)) + low
         doc = np.searchsorted(offsets, p, "right") - 1
         before, after = np.minimum(p - offsets[doc], side), np.minimum(offsets[doc + 1] - p - gram, side)
-        a, b = p - left - before, p - left + gram + after
-        shape = (before * 1024 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        parts.append((h[p - left], _text.mix((total[b] - total[a]) * inverse[a] + shape), doc, p - offsets[doc], before, after))
+        g = h[p - left]
+        c = _text.mix(_text.hash_spans(part, p - left - before, p - left + gram + after, fold=False, long=length + side) + (before * 1024 + after).astype(np.uint64) * _text.SEED)
+        if len(p):
+            again = (doc[1:] == doc[:-1]) & (g[1:] == g[:-1]) & (c[1:] == c[:-1]) & (np.diff(p) <= gram)
+            head = np.flatnonzero(np.concatenate([[True], ~again]))
+            more = p[np.append(head[1:], len(p)) - 1] - p[head]
+            parts.append((g[head], c[head], doc[head], (p - offsets[doc])[head], before[head], after[head], more))
         at += PIECE
     if not parts:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, *[np.int64] * 5))
     out = [np.concatenate(x) for x in zip(*parts, strict=True)]
     if len(parts) > 1:  # an anchor of windows on both sides of a cut
-        keep = np.unique(out[2] * (1 << 40) + out[3], return_index=True)[1]
+        order = np.lexsort((-out[6], out[3], out[2]))
+        out = [x[order] for x in out]
+        keep = np.concatenate([[True], (np.diff(out[2]) != 0) | (np.diff(out[3]) != 0)])
         out = [x[keep] for x in out]
     return tuple(out)
 
 
 ANCHORS = "bucket int, nodes binary, counts binary, grams binary, contexts binary, places binary"
-_PLACE = np.dtype([("pos", "<i8"), ("before", "<u2"), ("after", "<u2")])
+_PLACE = np.dtype([("pos", "<i8"), ("before", "<u2"), ("after", "<u2"), ("more", "<u4")])
 _WANT = np.dtype([("gram", "<i8"), ("pos", "<i8"), ("before", "<u2"), ("after", "<u2"), ("sub", "<u2"), ("split", "<u2")])
 
 
@@ -119,11 +147,11 @@ def _by_gram(n_buckets: int, length: int, gram: int):
             for part in _text.slices(batch):
                 part = part.filter(pa.array(_first_rows(part.column("node").to_numpy(), seen)))
                 nodes = part.column("node").to_numpy()
-                g, c, doc, pos, before, after = anchors(*_text.utf8(part.column("text")), length, gram)
-                bucket = ((g >> np.uint64(48)) % np.uint64(n_buckets)).astype(np.uint16)
+                g, c, doc, pos, before, after, more = anchors(*_text.utf8(part.column("text")), length, gram)
+                bucket = (_text.mix(g) % np.uint64(n_buckets)).astype(np.uint16 if n_buckets < 1 << 16 else np.int64)
                 order = np.argsort(bucket, kind="stable")
                 place = np.zeros(len(g), _PLACE)
-                place["pos"], place["before"], place["after"] = pos, before, after
+                place["pos"], place["before"], place["after"], place["more"] = pos, before, after, more
                 g, c, doc, place, bucket = g[order], c[order], doc[order], place[order], bucket[order]
                 for s, n in zip(*(x.tolist() for x in _text.runs(bucket)), strict=True):
                     cut = slice(s, s + n)
@@ -181,8 +209,8 @@ def _candidates(gram: int, split: int):
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])
         first = np.flatnonzero(new)
         times = np.diff(np.append(first, len(g)))
-        whole = np.repeat(times > 1, times)
-        out_nodes, spans = _spans_by(node[whole], (place["pos"] - place["before"])[whole], (place["pos"] + gram + place["after"])[whole])
+        whole = np.repeat((times > 1) | (np.maximum.reduceat(place["more"], first) > 0), times)
+        out_nodes, spans = _spans_by(node[whole], (place["pos"] - place["before"])[whole], (place["pos"] + gram + place["after"] + place["more"])[whole])
         wants: list[bytes | None] = [None] * len(out_nodes)
         _, kinds = _text.runs(g[first])
         several = np.repeat(kinds > 1, kinds)
@@ -347,21 +375,6 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     return position[back], klass[back]
 
 
-def _window_hashes(text: np.ndarray, where: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of the strings of `length` bytes at ascending positions."""
-    out = np.empty(len(where), np.uint64)
-    for low in range(0, len(text), PIECE):
-        a, b = np.searchsorted(where, [low, low + PIECE])
-        if a < b:
-            part = text[low : low + PIECE + length]
-            power, inverse = _text.powers(len(part) + 1)
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_text._CODE[part] * power[: len(part)], out=total[1:])
-            at = where[a:b] - low
-            out[a:b] = _text.mix((total[at + length] - total[at]) * inverse[at])
-    return out
-
-
 WINDOWS = "node long, spans binary, bucket int, hashes binary, nodes binary, starts binary"
 
 
@@ -398,7 +411,7 @@ def _shard(length: int, n_buckets: int):
             valid = np.maximum(size[split] - length + 1, 0)
             where = _text.spread(at[split], valid)
             own = np.repeat(split, valid)
-            hashes = _window_hashes(text, where, length)
+            hashes = _text.hash_spans(text, where, where + length, fold=False, long=length)
             begin = start[own] + where - at[own]
             hashes, first = np.unique(hashes, return_index=True)
             bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
@@ -467,7 +480,8 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (starts and ends of the removed runs) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("again"), text).alias("b"), text.alias("text"))
+    rows = with_node(rows, clashes(rows)).select("doc_id", "node", "text")
     texts = rows.select("node", "text").mapInArrow(_distinct, "node long, text string")
     n_buckets, n_shards = buckets_for(docs), buckets_for(docs, SHARD_BYTES)
     found = rows.select("node", "text").mapInArrow(_by_gram(n_buckets, length, gram), ANCHORS).groupBy("bucket").applyInArrow(_candidates(gram, split), FOUND)

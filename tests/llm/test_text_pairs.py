@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
-from quern.llm._spark import components
+from quern.llm._spark import clashes, components, with_node
+from tests.llm.conftest import prose
 
 
 def words(text):
@@ -65,14 +67,53 @@ def test_trie_finds_what_brute_force_finds():
     for _ in range(30):
         sets = [np.unique(r.integers(0, 30, r.integers(1, 25))) for _ in range(20)]
         sizes = [len(s) + int(r.integers(0, 3)) for s in sets]
-        trie, marks = ngram_join.Trie(sets, sizes), np.zeros(40, bool)
+        trie = ngram_join.Trie(sets, sizes)
         for s, n in zip(sets, sizes, strict=True):
             want = {k for k, t in enumerate(sets) if 180 * len(np.intersect1d(s, t)) >= 80 * (n + sizes[k])}
-            assert set(trie.near(s, n, marks, 80, 100)) == want
+            assert set(trie.near(s, n, 80, 100).tolist()) == want
 
 
 def test_ngram_join_of_nothing(empty):
     assert ngram_join.jaccard_components(empty).count() == 0
+    assert ngram_join.keep_representatives(empty).count() == 0
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_structured_words_are_told_apart(spark, n):
+    rows = [(1, thue_morse(n)), (2, thue_morse(n, "ba")), (3, thue_morse(n)), (4, thue_morse(n) * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect())
+    assert got == brute_components(rows) == Counter([(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 1, 4)])
+    got = suffix_dedup.repeats(df).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 200)
+
+
+def test_contents_that_share_a_hash_are_told_apart(spark):
+    df = spark.createDataFrame([(1, 7, 1), (2, 7, 2), (3, 8, 1), (4, 7, 1)], "id int, a long, b long")
+    nodes = {r.id: r.node for r in with_node(df, clashes(df)).collect()}
+    assert nodes[1] == nodes[4] and len(set(nodes.values())) == 3 and nodes[3] == 8
+    df = df.where("id <> 2")
+    assert {r.id: r.node for r in with_node(df, clashes(df)).collect()} == {1: 7, 3: 8, 4: 7}
+
+
+def test_unlinked_sets_that_share_shingles_cost_little():
+    r = np.random.default_rng(1)
+    sets = [np.unique(r.integers(0, 20_000, 100)) for _ in range(4000)]
+    began = time.process_time()
+    assert ngram_join.link_forest(sets, [len(s) for s in sets], 80, 100) == []
+    assert time.process_time() - began < 10
+
+
+def test_representatives_are_chosen_by_row(spark):
+    base, other = prose(31, 60), prose(32, 60)
+    rows = [(1, base), (5, base), (5, other), (6, other), (6, other), (None, other), (None, prose(33, 9)), (None, prose(33, 9)), (7, ""), (7, ""), (8, None)]
+    kept = ngram_join.keep_representatives(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id int, text string, _key string"))
+    assert kept.columns == ["doc_id", "text", "_key"]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, base), (5, other), (None, prose(33, 9)), (7, ""), (7, ""), (8, None)])
 
 
 def test_components(spark):
@@ -102,6 +143,17 @@ def test_suffix_dedup(docs, texts, length, gram, split):
     assert all(sum(b - a for a, b in zip(r.removed[::2], r.removed[1::2], strict=True)) == r.n_removed for r in got if r.removed)
 
 
+def test_suffix_dedup_of_periodic_texts(spark):
+    rows = [(1, "a" * 3000), (2, "ab" * 900 + "tail " + "x" * 150), (3, prose(40, 50)), (4, "abc" * 400 + prose(40, 50)), (5, "q" * 199), (6, "q" * 200), (7, ("-" * 90 + "\n") * 30)]
+    got = suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 200)
+
+
+def test_anchors_of_one_letter_are_few(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1 << 16)
+    assert len(suffix_dedup.anchors(np.full(1 << 19, 97, np.uint8), np.array([0, 1 << 19]))[0]) < 400
+
+
 def test_suffix_dedup_of_nothing(empty):
     assert suffix_dedup.repeats(empty).count() == 0
 
@@ -149,10 +201,10 @@ def test_line_dedup(lined):
     got = {(r.doc_id, r.text) for r in out.collect()}
     assert (0, rows[0][1]) in got and (50, None) in got and (51, "") in got and (52, "") in got and (None, "") in got and (53, "a b c d e f g h zap") in got
     # the numbers are variable fields, so each of the other documents' long lines is a recurring template
-    assert (3, "unique words number 3x in the first line\nshort one") not in got and (3, "short one") in got
+    assert (3, "") in got
     assert out.count() == len(rows)
     report = {r.doc_id: r for r in line_dedup.line_report(docs).collect()}
-    assert (report[3].n_lines, report[3].n_dropped, report[3].kept_sha256) == (5, 4, hashlib.sha256(b"short one").hexdigest())
+    assert (report[3].n_lines, report[3].n_dropped, report[3].kept_sha256) == (5, 5, hashlib.sha256(b"").hexdigest())
     assert (report[50].n_lines, report[50].n_dropped, report[0].n_dropped) == (0, 0, 0)
 
 
@@ -164,13 +216,121 @@ def test_line_dedup_generalises_words(spark):
     assert out[0] == rows[0][1] and out[5] == "something fay else 5" and out[20] == rows[8][1]
 
 
+def brute_lines(rows):
+    """The rules of the docstring, line by line in plain Python: {(row, line)} that go; rows are distinct."""
+    lines = []
+    for k, (i, text) in enumerate(rows):
+        for j, said in enumerate((text or "").split("\n") if text is not None else []):
+            own = tuple(re.findall(r"[^\x20\x09-\x0D]+", said))
+            masked = tuple("<*>" if re.search("[0-9]", w) else w for w in own)
+            solid = len(own) >= 5 and 10 * sum(w != "<*>" for w in masked) >= 6 * len(own)
+            if own:
+                lines.append(((i is None, i if i is not None else k, j), (k, j), own, masked, solid))
+    gone = set()
+
+    def recurring(group, least):
+        if len({x[0][:2] for x in group}) < least:
+            return False
+        gone.update(x[1] for x in group if x[1] != min(group)[1])
+        return True
+
+    by = defaultdict(list)
+    for x in lines:
+        by[x[3] if x[4] else x[2]].append(x)
+    nodes = defaultdict(list)
+    for group in by.values():
+        if not recurring(group, 6):
+            for x in group:
+                if x[4]:
+                    nodes[len(x[2]), x[3][:3]].append(x)
+    same = defaultdict(list)
+    for x in lines:
+        if len(x[2]) >= 20:
+            same[x[2]].append(x)
+    for group in same.values():
+        recurring(group, 2)
+    fixed = 3
+    while nodes:
+        below = defaultdict(list)
+        for name, group in nodes.items():
+            if len({x[0][:2] for x in group}) < 6:
+                continue
+            n = len(group[0][3])
+            count = Counter((p, x[3][p]) for x in group for p in range(n))
+            firm = {k for k, c in count.items() if c >= 6 and 10 * c >= 6 * len(group)}
+            stands = firm and 10 * (len(firm) - fixed) >= 6 * (n - fixed)
+            hits = [x for x in group if stands and 10 * sum((p, x[3][p]) in firm for p in range(n)) >= 9 * len(firm)]
+            recurring(hits, 6)
+            for x in group:
+                keys = [(count[p, w], -p, w) for p, w in enumerate(x[3]) if 6 <= count[p, w] < len(group)]
+                if x not in hits and keys:
+                    below[name, max(keys)[1:]].append(x)
+        nodes, fixed = below, fixed + 1
+    return gone
+
+
+def kept_by_brute(rows):
+    gone = brute_lines(rows)
+    return Counter((i, None if t is None else "\n".join(said for j, said in enumerate(t.split("\n")) if (k, j) not in gone)) for k, (i, t) in enumerate(rows))
+
+
+def line_corpus(seed):
+    import random
+
+    r = random.Random(seed)
+    pick = lambda: r.choice(["ann", "bob", "cid", "dee", "eve", "7", "x9"])
+    made = [
+        lambda: f"Click here to read more about {r.choice('abcdefghijkl')} today", lambda: f"Click here to see offers from {r.choice('abcdefghijkl')} now", lambda: f"Click here to {pick()} {pick()} about {pick()} {pick()}",
+        lambda: "All rights reserved.", lambda: "Les.", lambda: f"page {r.randint(1, 3)}", lambda: " ".join(str(r.randint(0, 9)) for _ in range(6)), lambda: "  \t ", lambda: "",
+        lambda: "a long line " + " ".join(f"w{k}" for k in range(25)) + f" {r.randint(0, 2)}", lambda: prose(r.randint(0, 40), r.randint(1, 30)), lambda: f"the {pick()} of the {pick()} was {pick()} here",
+    ]
+    rows = {(None if i % 9 == 8 else i // 2, "\n".join(r.choice(made)() for _ in range(r.randint(1, 9)))) for i in range(70)}
+    return [*sorted(rows, key=repr), (500, None), (501, "")]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_line_dedup_against_brute_force(spark, seed):
+    rows = line_corpus(seed)
+    assert len(brute_lines(rows)) > 50
+    out = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == kept_by_brute(rows)
+
+
+def test_line_dedup_with_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 3)
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", 100)
+    test_line_dedup_against_brute_force(spark, 3)
+
+
 def test_line_dedup_drops_short_lines(spark):
     rows = [(i, f"All rights reserved.\nLes.\n\n{i}\nown{i}") for i in range(6)] + [(9, "Les.")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(df, short=True).collect()}
+    out = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(df).collect()}
     assert out[0] == rows[0][1] and out[9] == "" and all(out[i] == f"\n{i}\nown{i}" for i in range(1, 6))
 
 
+def test_line_dedup_keeps_every_template_of_a_leaf(spark):
+    said = [f"Click here to read more about {c} today" for c in "abcdefgh"], [f"Click here to see offers from {c} now" for c in "abcdefgh"]
+    for used in (said[0], said[1], said[0] + said[1]):
+        report = line_dedup.line_report(spark.createDataFrame(list(enumerate(used)), "doc_id long, text string")).collect()
+        assert sum(r.n_dropped for r in report) == len(used) // 8 * 7
+    df = spark.createDataFrame([(i, f"four tokens in here\nown {i}x") for i in range(500)], "doc_id long, text string")
+    assert sum(r.n_dropped for r in line_dedup.line_report(df).collect()) == 499
+
+
+def test_line_dedup_of_rows_without_ids(spark):
+    df = spark.createDataFrame([(None, "a line that all rows have\n" + t) for t in ("one", "two", "three", "four", "five", "six")] + [(None, "twins of one row")] * 20, "doc_id long, text string")
+    out = Counter(r.text for r in line_dedup.drop_recurring_lines(df).collect())
+    assert out["twins of one row"] == 20 and sum(t.startswith("a line") for t in out) == 1 and sum(out.values()) == 26
+
+
+def test_line_dedup_drops_long_lines_from_the_second_document_on(spark):
+    long = " ".join(f"w{k}" for k in range(25))
+    rows = [(1, f"{long}\nshort own line here"), (2, f"{long}\nother"), (3, long.replace("w7", "w8"))]
+    out = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "other", 3: rows[2][1]}
+
+
 def test_pipeline_drops_long_lines_from_the_second_document_on(spark):
     import corpus_pipeline
 
@@ -194,8 +354,9 @@ def test_line_dedup_is_linear_in_a_long_token(spark):
     assert line_dedup.drop_recurring_lines(df).count() == 2
 
 
-def test_native_plan(docs):
-    plan = line_dedup.dropped_lines(docs)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("made", [line_dedup.dropped_lines, line_dedup.line_report, line_dedup.drop_recurring_lines, line_dedup.drop_long_repeats])
+def test_native_plan(docs, made):
+    plan = made(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
