@@ -22,13 +22,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def _rest(docs: DataFrame, cut) -> DataFrame:
     """docs as `cut` leaves them, without those of which nothing is left, with n_chars renewed."""
-    kept = cut(docs.withColumn("_had", F.length("text") > 0))
-    return kept.where("NOT coalesce(_had, false) OR length(text) > 0").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    had = next(name for name in ("_had" + "_" * k for k in range(len(docs.columns) + 1)) if name not in docs.columns)
+    kept = cut(docs.withColumn(had, F.length("text") > 0))
+    kept = kept.where(~F.coalesce(F.col(had), F.lit(False)) | (F.length("text") > 0))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go, short ones too, and with them the documents of which nothing else is left."""
-    return _rest(docs, lambda x: line_dedup.drop_recurring_lines(x, short=True))
+    """Recurring lines go, and with them the documents of which nothing else is left.
+
+    Long lines of few documents wait for the next stage: here near copies would lose all but their short lines, and not be found there.
+    """
+    return _rest(docs, lambda x: line_dedup.drop_recurring_lines(x, long_docs=None))
 
 
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
