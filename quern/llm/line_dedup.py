@@ -5,9 +5,9 @@ that hold a digit are variable fields from the start; lines that are equal up to
 template. What is left at a leaf is generalised: a place where one token makes up CONSTANT of the lines
 is constant, any other a variable field; the template stands if SOLID of the places that the path to it
 doesn't fix are constant, and a line belongs to it if MATCH of the constants agree. Lines that belong to
-no standing template go on to a child node, chosen by the most frequent of their tokens that not all
-lines of the node have, and so on until a node is a template or lies in too few documents: a leaf has
-any number of templates, and one doesn't hide another.
+no standing template go on to a child node, chosen by the most frequent of their tokens that isn't a
+constant, and so on until nothing is left in MIN_DOCS documents: a leaf has any number of templates, and
+one doesn't hide another. A child has less than CONSTANT of its node's lines, so the depth is logarithmic.
 
 A template recurs if its lines lie in MIN_DOCS documents. Lines of LONG_TOKENS tokens that are equal
 with all their digits recur from LONG_DOCS documents on. Lines under MIN_TOKENS tokens, and lines of
@@ -66,14 +66,18 @@ def _described(line: Column) -> Column:
     The tokens are made once, inside the generator that calls this.
     """
 
-    def of(t: Column) -> Column:
-        n = F.when(t[0] == "", 0).otherwise(F.size(t))
-        own = F.when(_has_fields(line), F.xxhash64(_split(line))).otherwise(F.xxhash64(t))
-        fields = F.when(_has_fields(line), F.size(F.filter(t, lambda x: x == FIELD))).otherwise(0)
-        solid = (n >= MIN_TOKENS) & ((n - fields) * 10 >= n * SOLID)
-        return F.struct(n.alias("n"), F.when(solid, F.xxhash64(n, F.slice(t, 1, LEAD))).alias("leaf"), F.when(solid, F.xxhash64(t)).otherwise(own).alias("full"), F.when(n >= LONG_TOKENS, own).alias("own"))
+    def tokens(has: Column) -> Column:
+        return F.transform(F.array(_split(F.when(has, _masked(line)).otherwise(line))), lambda t: of(has, t, F.when(t[0] == "", 0).otherwise(F.size(t))))[0]
 
-    return F.transform(F.array(_tokens(line)), of)[0]
+    def of(has: Column, t: Column, n: Column) -> Column:
+        solid = (n >= MIN_TOKENS) & (~has | ((F.size(F.filter(t, lambda x: x != FIELD)) * 10) >= n * SOLID))
+        return F.transform(F.array(F.struct(n.alias("n"), solid.alias("solid"), F.xxhash64(t).alias("full"), F.when(has, F.xxhash64(_split(line))).alias("own"), F.xxhash64(F.size(t), F.slice(t, 1, LEAD)).alias("leaf"))), whole)[0]
+
+    def whole(d: Column) -> Column:
+        own = F.coalesce(d["own"], d["full"])
+        return F.struct(d["n"].alias("n"), F.when(d["solid"], d["leaf"]).alias("leaf"), F.when(d["solid"], d["full"]).otherwise(own).alias("full"), F.when(d["n"] >= LONG_TOKENS, own).alias("own"))
+
+    return F.transform(F.array(_has_fields(line)), tokens)[0]
 
 
 def _row_of(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -148,11 +152,11 @@ def _generalised(rows: DataFrame, rest: DataFrame, total: int, min_docs: int) ->
         sizes = tokens.where("_pos = 0").groupBy("_node").agg(F.count("*").alias("_size"))
         counts = tokens.groupBy("_node", "_pos", "_token").agg(F.count("*").alias("_lines")).where(F.col("_lines") >= min_docs)
         constant = F.col("_lines") * 10 >= F.col("_size") * CONSTANT
-        counts = stored(counts.join(sizes, "_node").select("_node", "_pos", "_token", "_lines", constant.alias("_constant"), (F.col("_lines") < F.col("_size")).alias("_parts")), "token-counts")
+        counts = stored(counts.join(sizes, "_node").select("_node", "_pos", "_token", "_lines", constant.alias("_constant")), "token-counts")
         solid = counts.where("_constant").groupBy("_node").agg(F.count("*").alias("_constants"), F.sum("_lines").alias("_lines"))
         each = _meet(tokens, counts, ["_node", "_pos", "_token"], n_tokens).groupBy(*line, "_node").agg(
             F.min("_doc").alias("_doc"), F.min("_n").alias("_n"), F.sum(F.col("_constant").cast("int")).alias("_agree"),
-            F.max(F.when(F.col("_parts"), F.struct("_lines", (-F.col("_pos")).alias("_at"), "_token"))).alias("_next"),
+            F.max(F.when(~F.col("_constant"), F.struct("_lines", (-F.col("_pos")).alias("_at"), "_token"))).alias("_next"),
         )
         solid = stored(solid, "solid-nodes")
         each = _meet(each, solid, ["_node"], n_tokens, "left")
@@ -160,12 +164,15 @@ def _generalised(rows: DataFrame, rest: DataFrame, total: int, min_docs: int) ->
         each = stored(each.withColumn("_hit", F.coalesce(stands & (F.col("_agree") * 10 >= F.col("_constants") * MATCH), F.lit(False))), "line-nodes")
         hits = each.where("_hit").select(*line, "_doc", "_node")
         recurring = stored(_first_and_docs(hits, "_node").where(F.col("_docs") >= min_docs), "templates")
-        gone.append(_meet(hits, recurring, ["_node"], n_tokens).where(_later()))
+        gone.append(stored(_meet(hits, recurring, ["_node"], n_tokens).where(_later()).select(*line), "general-lines"))
+        for read in (counts, solid, recurring):
+            discard(read)
         below = each.where("NOT _hit AND _next IS NOT NULL").select(*line, "_doc", F.xxhash64("_node", "_next._at", "_next._token").alias("_node"))
         enough = stored(_first_and_docs(below, "_node").where(F.col("_docs") >= min_docs).select("_node", "_lines"), "children")
         below = _meet(below, enough, ["_node"], n_tokens).drop("_lines")
         before, tokens = tokens, stored(tokens.drop("_node", "_doc").join(below, line), "line-tokens")
-        discard(before)
+        for read in (before, each, enough):
+            discard(read)
         fixed += 1
     return gone
 

@@ -72,7 +72,7 @@ w AS (
   UNION ALL
   SELECT doc_id, i, m, CASE WHEN hits THEN node ELSE node || [best.t || ' ' || best.p] END, fixed + 1, hits FROM (
     SELECT doc_id, i, m, node, fixed, best, coalesce(10 * (k - fixed) >= 6 * (len(m) - fixed) AND 10 * agree >= 9 * k, false) AS hits FROM (
-      SELECT doc_id, i, m, node, fixed, max(k) AS k, count(*) FILTER (firm) AS agree, max({'c': c, 'p': -p, 't': tok}) FILTER (c >= 6 AND c < size) AS best FROM (
+      SELECT doc_id, i, m, node, fixed, max(k) AS k, count(*) FILTER (firm) AS agree, max({'c': c, 'p': -p, 't': tok}) FILTER (c >= 6 AND NOT firm) AS best FROM (
         SELECT *, count(DISTINCT CASE WHEN firm THEN p END) OVER (PARTITION BY node) AS k FROM (
           SELECT *, c >= 6 AND 10 * c >= 6 * size AS firm FROM (
             SELECT *, count(*) OVER (PARTITION BY node, p, tok) AS c, count(*) OVER (PARTITION BY node, p) AS size FROM (

@@ -262,7 +262,7 @@ def brute_lines(rows):
             hits = [x for x in group if stands and 10 * sum((p, x[3][p]) in firm for p in range(n)) >= 9 * len(firm)]
             recurring(hits, 6)
             for x in group:
-                keys = [(count[p, w], -p, w) for p, w in enumerate(x[3]) if 6 <= count[p, w] < len(group)]
+                keys = [(count[p, w], -p, w) for p, w in enumerate(x[3]) if count[p, w] >= 6 and (p, w) not in firm]
                 if x not in hits and keys:
                     below[name, max(keys)[1:]].append(x)
         nodes, fixed = below, fixed + 1
