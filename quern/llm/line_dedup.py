@@ -39,7 +39,7 @@ MIN_DOCS = 6
 LONG_TOKENS, LONG_DOCS = 20, 2
 CONSTANT, SOLID, MATCH = 6, 6, 9  # tenths
 FIELD = "<*>"
-HOT_KEYS, HOT_LINES = 4096, 256
+HOT_KEYS, HOT_LINES = 1024, 256
 _SPACE = " \t\x0b\f\r"
 
 
@@ -149,27 +149,28 @@ def _generalised(rows: DataFrame, rest: DataFrame, total: int, min_docs: int) ->
     gone, fixed = [], LEAD
     while not tokens.isEmpty():
         n_tokens = tokens.count()
+        n_lines = tokens.where("_pos = 0").count()
         sizes = tokens.where("_pos = 0").groupBy("_node").agg(F.count("*").alias("_size"))
         counts = tokens.groupBy("_node", "_pos", "_token").agg(F.count("*").alias("_lines")).where(F.col("_lines") >= min_docs)
         constant = F.col("_lines") * 10 >= F.col("_size") * CONSTANT
-        counts = stored(counts.join(sizes, "_node").select("_node", "_pos", "_token", "_lines", constant.alias("_constant")), "token-counts")
-        solid = counts.where("_constant").groupBy("_node").agg(F.count("*").alias("_constants"), F.sum("_lines").alias("_lines"))
-        each = _meet(tokens, counts, ["_node", "_pos", "_token"], n_tokens).groupBy(*line, "_node").agg(
+        counts = stored(counts.join(sizes, "_node").select("_node", "_pos", "_token", "_lines", "_size", constant.alias("_constant")), "token-counts")
+        solid = counts.where("_constant").groupBy("_node").agg(F.count("*").alias("_constants"), F.max("_size").alias("_lines"))
+        each = _meet(tokens, counts.drop("_size"), ["_node", "_pos", "_token"], n_tokens).groupBy(*line, "_node").agg(
             F.min("_doc").alias("_doc"), F.min("_n").alias("_n"), F.sum(F.col("_constant").cast("int")).alias("_agree"),
             F.max(F.when(~F.col("_constant"), F.struct("_lines", (-F.col("_pos")).alias("_at"), "_token"))).alias("_next"),
         )
         solid = stored(solid, "solid-nodes")
-        each = _meet(each, solid, ["_node"], n_tokens, "left")
+        each = _meet(each, solid, ["_node"], n_lines, "left")
         stands = (F.col("_constants") - fixed) * 10 >= (F.col("_n") - fixed) * SOLID
         each = stored(each.withColumn("_hit", F.coalesce(stands & (F.col("_agree") * 10 >= F.col("_constants") * MATCH), F.lit(False))), "line-nodes")
         hits = each.where("_hit").select(*line, "_doc", "_node")
         recurring = stored(_first_and_docs(hits, "_node").where(F.col("_docs") >= min_docs), "templates")
-        gone.append(stored(_meet(hits, recurring, ["_node"], n_tokens).where(_later()).select(*line), "general-lines"))
+        gone.append(stored(_meet(hits, recurring, ["_node"], n_lines).where(_later()).select(*line), "general-lines"))
         for read in (counts, solid, recurring):
             discard(read)
         below = each.where("NOT _hit AND _next IS NOT NULL").select(*line, "_doc", F.xxhash64("_node", "_next._at", "_next._token").alias("_node"))
         enough = stored(_first_and_docs(below, "_node").where(F.col("_docs") >= min_docs).select("_node", "_lines"), "children")
-        below = _meet(below, enough, ["_node"], n_tokens).drop("_lines")
+        below = _meet(below, enough, ["_node"], n_lines).drop("_lines")
         before, tokens = tokens, stored(tokens.drop("_node", "_doc").join(below, line), "line-tokens")
         for read in (before, each, enough):
             discard(read)
