@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of stored input behind one bucket of a blob exchange.
 BUCKET_BYTES = 12 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +31,16 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs nothing.
 
-    The files go when the driver's JVM ends, or earlier by ``discard``.
+    The files go when the driver's JVM ends, or earlier by ``discard``; the shuffle files behind them when they are written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     files, at = _file_system(spark, path)
     files.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)

@@ -168,7 +168,9 @@ def toks(t):
 
 def test_lm_base_score(docs, texts):
     out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
-    rows = lm_score.score(docs, lm_score.fit(docs.where(~out), n_buckets=5), held_out=out).collect()
+    rows, again = (lm_score.score(docs, lm_score.fit(docs.where(~out), n_buckets=5), held_out=out, trained=x).collect() for x in (True, False))
+    key = lambda r: (r.doc_id or -1, round(r.score, 3), round(r.base_score, 3))
+    assert sorted(map(key, rows)) == sorted(map(key, again))
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     c = Counter(w for i, t in texts if not held(i) for w in toks(t))
     n, v = sum(c.values()), len(c)
@@ -178,25 +180,6 @@ def test_lm_base_score(docs, texts):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
-def test_lm_seating_is_consistent():
-    """The predictive probabilities of one context over a closed vocabulary sum to one."""
-    words = np.arange(1, 41, dtype=np.uint64)
-    cells = lm_score._sum_cells(np.repeat(words, 3), np.tile(np.array([5, 20, 256], np.uint16), 40), np.tile(np.array([1, 2, 7]), 40) * np.repeat(np.arange(1, 41) % 5 + 1, 3))
-    s = lm_score.Sweeper(0, *cells)
-    for _ in range(3):
-        t = lm_score.Totals.of(s.totals())
-        s.sweep(t)
-    t = lm_score.Totals.of(s.totals())
-    fine, coarse, root = s.predictive(t)
-    unknown = (lm_score.STRENGTH + t.discounts[2] * t.tables[2][0]) / (lm_score.STRENGTH + t.customers[2][0]) / (t.v + 1)
-    assert root.sum() + unknown == pytest.approx(1)
-    for context in (5, 20, 256):
-        up = lm_score._predictive(0, 0, lm_score._parent(np.array([context])), np.array([unknown]), t.customers[1], t.tables[1], t.discounts[1])
-        up = lm_score._predictive(0, 0, np.array([context]), up, t.customers[0], t.tables[0], t.discounts[0])
-        assert fine[s.context == context].sum() + up[0] == pytest.approx(1)
-    assert (s.t[0] >= 1).all() and (s.t[0] <= s.count).all()
-
-
 def test_lm_seats_of_a_large_cell():
     """The number of tables of a cell of a million customers is near its expectation."""
     got = lm_score.seat(np.full(50, 1_000_000), np.full(50, 0.01), np.full(50, 1000.0), 0.5, np.random.default_rng(0))
@@ -207,48 +190,128 @@ def test_lm_seats_of_a_large_cell():
     assert got.mean() == pytest.approx(t, rel=0.1)
 
 
-def test_lm_learns_word_pairs(spark):
-    """After "q0ab" comes "x", after "q1ab" comes "y": previous words of one ending are told apart, and the pair's count is used exactly."""
-    follows = {f"q{i}ab": f"w{i}" for i in range(20)}
+def test_lm_learns_from_two_words_before(spark):
+    """After "p q" comes "x", after "r q" comes "y"; after "q" alone either."""
+    follows = {f"p{i} q{j}": f"w{i + j}" for i in range(9) for j in range(9)}
     train = " ".join(f"{a} {b} the" for a, b in list(follows.items()) * 10)
-    rows = [(1, train), (2, "q0ab w0"), (3, "q0ab w1"), (4, "q19ab w19 the"), (5, "q19ab w3 the")]
+    rows = [(1, train), (2, "p0 q3 w3"), (3, "p0 q3 w4"), (4, "the q3 w5 the"), (5, "the q3 w88 the")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.score for r in lm_score.score(df, lm_score.fit(df.where("doc_id = 1"), n_buckets=3)).collect()}
-    assert out[2] > out[3] + 1 and out[4] > out[5] + 1
-
-
-def test_lm_score_of_word_pairs_is_exact(docs, texts):
-    """With one table a cell in all levels (no sweep), the scores are those of the formula, at any number of buckets."""
-    held = lambda i: i is not None and i % 3 == 1
-    ends = {w: f for t in texts for w, f in zip([None, *toks(t[1])[:-1]], (lm_score.tokens(pa.array([t[1]]))[1] >> np.uint64(55)).tolist(), strict=True)}
-    pairs = Counter(p for i, t in texts if not held(i) for p in zip([None, *toks(t)[:-1]], [w or "END" for w in toks(t)], strict=True))
-    up = lambda f: int(lm_score._parent(np.array([f]))[0])
-    levels = [pairs, Counter((ends[u], w) for u, w in pairs)]
-    levels += [Counter((up(f), w) for f, w in levels[1])]
-    levels += [Counter((0, w) for _, w in levels[2])]
-    once = [(sum(c == 1 for c in x.values()), sum(c == 2 for c in x.values())) for x in levels]
-    discounts = [min(0.95, max(0.05, a / (a + 2 * b) if a else 0.5)) for a, b in once]
-    customers, tables = [Counter() for _ in levels], [Counter() for _ in levels]
-    for k, x in enumerate(levels):
-        for (u, _), c in x.items():
-            customers[k][u] += c
-            tables[k][u] += 1
-    p_of = {}
-
-    def p(u, w):
-        if (u, w) not in p_of:
-            out = 1 / (len(levels[3]) + 1)
-            for k, at in ((3, 0), (2, up(ends[u])), (1, ends[u]), (0, u)):
-                d, c = discounts[k], levels[k][at, w]
-                out = (max(c - d, 0) + (1 + d * tables[k][at]) * out) / (1 + customers[k][at])
-            p_of[u, w] = out
-        return p_of[u, w]
-
-    want = Counter((i, round(sum(math.log10(p(u, w or "END")) for u, w in zip([None, *toks(t)[:-1]], toks(t), strict=True)), 1)) for i, t in texts)
+    assert out[2] > out[3] + 1 and out[4] > out[5]
+
+
+class NaiveModel:
+    """The three levels in dictionaries, customers seated one by one; sweeps 0: one table a cell."""
+
+    def __init__(self, texts, sweeps, seed=0):
+        import random
+
+        self.rounds, r = [], random.Random(seed)
+        triples = Counter(x for t in texts for x in self.grams(t))
+        self.levels = [triples, Counter((v, w) for _, v, w in triples), None]
+        self.words = {w for _, _, w in triples}
+        d = [self.discount(triples), self.discount(self.levels[1])]
+        tables = {k: 1 for k in self.levels[1]}
+        root, up = {}, None
+        for k in range(sweeps + 1):
+            if k:  # given the root of the sweep before
+                all_ = Counter()
+                for (v, _), t in tables.items():
+                    all_[v] += t
+                tables = {x: self.seated(r, c, up(x[1]), all_[x[0]], d[1]) for x, c in self.levels[1].items()}
+            customers = Counter()
+            for (_, w), t in tables.items():
+                customers[w] += t
+            d0 = self.discount(customers)
+            base = 1 / (len(self.words) + 1)
+            root = {w: self.seated(r, c, base, sum(root.values()), d0) if k else 1 for w, c in customers.items()}
+            total, new = 1 + sum(customers.values()), (1 + d0 * sum(root.values())) * base
+            up = lambda w, c=customers, t=root, d0=d0, new=new, total=total: (max(c[w] - d0 * t.get(w, 0), 0) + new) / total
+            self.rounds.append((up, dict(tables), d))
+
+    @staticmethod
+    def grams(text):
+        w = [None, None, *toks(text)]
+        return list(zip(w, w[1:], w[2:], strict=False))
+
+    @staticmethod
+    def discount(cells):
+        a, b = (sum(c == i for c in cells.values()) for i in (1, 2))
+        return min(0.95, max(0.05, a / (a + 2 * b) if a else 0.5))
+
+    @staticmethod
+    def seated(r, customers, parent, tables, d):
+        t = 1
+        for n in range(1, customers):
+            o = (1 + d * tables) * parent
+            t += r.random() < o / (n - d * t + o)
+        return t
+
+    def sums(self, k):
+        _, tables, _ = self.rounds[k]
+        found = [Counter(), Counter(), Counter(), Counter()]
+        for (u, v, _), c in self.levels[0].items():
+            found[0][u, v] += c
+            found[1][u, v] += 1
+        for (v, w), c in self.levels[1].items():
+            found[2][v] += c
+            found[3][v] += tables[v, w]
+        return found
+
+    def scores(self, texts):
+        used = list(range(2, len(self.rounds))) or [len(self.rounds) - 1]
+        sums = {k: self.sums(k) for k in used}
+        out = []
+        for text in texts:
+            total = 0.0
+            for u, v, w in self.grams(text):
+                p = 0.0
+                for k in used:
+                    up, tables, (d3, d2) = self.rounds[k][0], self.rounds[k][1], self.rounds[k][2]
+                    n3, t3, n2, t2 = sums[k]
+                    q = (max(self.levels[1][v, w] - d2 * tables.get((v, w), 0), 0) + (1 + d2 * t2[v]) * up(w)) / (1 + n2[v])
+                    p += (max(self.levels[0][u, v, w] - d3, 0) + (1 + d3 * t3[u, v]) * q) / (1 + n3[u, v])
+                total += math.log10(p / len(used))
+            out.append(total)
+        return out
+
+
+@pytest.mark.parametrize("heavy", [65_535, 9])
+def test_lm_score_without_sweeps_is_exact(docs, texts, monkeypatch, heavy):
+    """With one table a cell in all levels, the scores are those of the formula, at any number of buckets and of heavy words."""
+    monkeypatch.setattr(lm_score, "HEAVY", heavy)
+    want = NaiveModel([t for i, t in texts if i is None or i % 3 != 1], 0).scores([t for _, t in texts])
     for n in (1, 5):
         model = lm_score.fit(docs.where("coalesce(doc_id % 3, 0) <> 1"), sweeps=0, n_buckets=n)
         got = sorted((r.doc_id or -1, r.score) for r in lm_score.score(docs, model).collect())
-        assert [x for _, x in got] == pytest.approx([s for _, s in sorted((i or -1, s) for i, s in want.elements())], abs=0.06)
+        assert [x for _, x in got] == pytest.approx([s for _, s in sorted((i or -1, s) for (i, _), s in zip(texts, want, strict=True))], rel=1e-5, abs=1e-3)
+
+
+def test_lm_score_agrees_with_a_naive_sampler(spark):
+    import random
+
+    r = random.Random(5)
+    made = lambda k: " ".join(f"w{min(int(r.paretovariate(0.9)), 40) * (3 if r.random() < 0.2 else 1)}" for _ in range(k))
+    rows = [(i, made(60)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {x.doc_id: x.score for x in lm_score.score(df, lm_score.fit(df.where("doc_id < 40"), sweeps=4, n_buckets=3)).collect()}
+    runs = [NaiveModel([t for i, t in rows if i < 40], 4, seed).scores([t for _, t in rows]) for seed in range(5)]
+    mean = [sum(x) / len(runs) for x in zip(*runs, strict=True)]
+    assert [out[i] for i, _ in rows] == pytest.approx(mean, rel=0.01)
+    plain = NaiveModel([t for i, t in rows if i < 40], 0).scores([t for _, t in rows])
+    assert sum(abs(out[i] - m) for i, m in enumerate(mean)) < sum(abs(p - m) for p, m in zip(plain, mean, strict=True)) / 3
+
+
+def test_lm_root_is_a_distribution(spark):
+    rows = [(i, " ".join(f"w{(i * k) % 23}" for k in range(50))) for i in range(30)]
+    model = lm_score.fit(spark.createDataFrame(rows, "doc_id long, text string"), n_buckets=2)
+    assert model.v == 24 and all(x.heavy[np.append(model.heavy.heavy[:-1], False)].sum() + x.new == pytest.approx(1) for x in model.history)
+
+
+def test_lm_splits_frequent_words(docs, texts, monkeypatch):
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 40)
+    rows = lm_score.score(docs, lm_score.fit(docs, n_buckets=4)).collect()
+    assert len(rows) == len(texts) and all(math.isfinite(r.score) and r.score < 0 for r in rows) and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
 def test_lm_without_training(docs, empty, texts):
