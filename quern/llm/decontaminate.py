@@ -2,10 +2,12 @@
 
 The similarity of a short item and a long document says nothing, so the search is by containment: the
 share of an item's shingles that a document has. Items are partitioned by the size of their sets. An
-item of n shingles has as its sketch its s smallest shingle hashes (bottom-s MinHash), and s follows
-from its size: a document that holds the share t of the item lacks at most n - ceil(t n) shingles, so
-it has one at least of any n - ceil(t n) + 1. In each partition a document is looked up in the sorted
-sketch table; every hit is verified by exact shingle containment. Nothing that reaches t is lost.
+item of n shingles has as its sketch its s smallest shingle hashes (bottom-s MinHash). A document that
+holds the share t of the item lacks at most n - ceil(t n) shingles, so of a sketch of n - ceil(t n) + k it
+has k at least. k grows with the sizes of a partition (an eighth of the least), so that an item of many
+shingles isn't a candidate for one common one. In each partition a document is looked up in the sorted sketch
+table; what has k hits is verified by exact shingle containment. Nothing that reaches t is lost. Hits are
+expanded EXPAND at a time.
 
 Items are read in blocks of bounded size; each block is sent to the executors and makes one pass over
 the documents. Documents are never shuffled and no document's size or number of hits is limited.
@@ -30,6 +32,7 @@ from quern.llm import _text
 NUMERATOR, DENOMINATOR = 80, 100
 BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
+EXPAND = 1 << 20
 
 
 class ItemBlock:
@@ -40,31 +43,48 @@ class ItemBlock:
         n = np.diff(bounds)
         self.ids, self.values, self.bounds, self.n = ids, values, bounds, n
         self.least = -(-num * n // den)
-        self.partitions = []  # (sketch hashes, their items), by the power of two of the size
+        self.partitions = []  # (sketch hashes, their items, hits that a candidate has), by the power of two of the size
         power = np.where(n > 0, np.floor(np.log2(np.maximum(n, 1))), -1).astype(int)
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         for p in np.unique(power[power >= 0]):
             items = np.flatnonzero(power == p)
-            length = (n - self.least + 1)[items]
+            k = max(1, min((1 << int(p)) // 8, int(self.least[items].min())))
+            length = (n - self.least + k)[items]
             at = _text.spread(bounds[:-1][items], length)  # sets are sorted, so the smallest come first
             keys, owner = values[at], np.repeat(items, length)
             order = np.argsort(keys, kind="stable")
-            self.partitions.append((keys[order], owner[order]))
+            self.partitions.append((keys[order], owner[order], k))
             self.maybe[keys & np.uint64((1 << _FILTER_BITS) - 1)] = True
 
+    def _candidates(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """(2, candidates) rows and items with enough hits; (row, value) are distinct."""
+        n_items, found = len(self.n), [np.zeros(0, np.int64)]
+        for keys, owner, k in self.partitions:
+            low = np.searchsorted(keys, value, "left")
+            count = np.searchsorted(keys, value, "right") - low
+            ends = np.cumsum(count)
+            pairs, hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            at = 0
+            while at < len(value):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + EXPAND, "right")))
+                key = np.repeat(row[at:to], count[at:to]) * n_items + owner[_text.spread(low[at:to], count[at:to])]
+                key, times = np.unique(key, return_counts=True)
+                pairs, of = np.unique(np.concatenate([pairs, key]), return_inverse=True)
+                hits = np.bincount(of, weights=np.concatenate([hits, times]), minlength=len(pairs)).astype(np.int64)
+                at = to
+            found.append(pairs[hits >= k])
+        pairs = np.sort(np.concatenate(found))
+        return np.stack([pairs // max(1, n_items), pairs % max(1, n_items)])
+
     def matches(self, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows, items and shared shingles of all pairs that reach the threshold; values may repeat in a document."""
         hit = np.flatnonzero(self.maybe[values & np.uint64((1 << _FILTER_BITS) - 1)])
-        row = np.searchsorted(bounds, hit, "right") - 1
-        pairs = []
-        for keys, owner in self.partitions:
-            low = np.searchsorted(keys, values[hit], "left")
-            count = np.searchsorted(keys, values[hit], "right") - low
-            at = _text.spread(low, count)
-            pairs.append(np.stack([np.repeat(row, count), owner[at]]))
-        if not pairs or not sum(p.shape[1] for p in pairs):
-            return (np.zeros(0, np.int64),) * 3
-        pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        row, value = np.searchsorted(bounds, hit, "right") - 1, values[hit]
+        order = np.lexsort((value, row))
+        row, value = row[order], value[order]
+        first = np.ones(len(row), bool)
+        first[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+        pairs = self._candidates(row[first], value[first])
         shared = np.zeros(pairs.shape[1], np.int64)
         starts, lengths = _text.runs(pairs[0])
         for s, k in zip(starts.tolist(), lengths.tolist(), strict=True):
