@@ -9,8 +9,8 @@ inside a turn's span is found by rendering the turn once more with a one-charact
 ``TurnTemplate`` marks every turn and escapes its control strings inside texts and roles by a
 backslash after the first character; longer runs of backslashes grow by one, so unescaping is exact.
 
-Defined results: rows are ordered by turn, role, text (null first); a null role or text is empty; a
-null conv_id is a conversation of its own; repeated rows are repeated turns; a conversation without an
+Defined results: rows are ordered by turn, role, text (null first); a null role or text is empty; each
+row with a null conv_id is a conversation of its own; repeated rows are repeated turns; a conversation without an
 assistant turn has an empty mask; an empty table gives an empty result; other columns are ignored. A
 conversation is rendered by one task, as its output is one string.
 """
@@ -100,7 +100,9 @@ def format_chat(template, turns: list[Turn], loss_role: str = LOSS_ROLE) -> Form
 def conversations(rows: DataFrame) -> DataFrame:
     """conv_id, turns array<struct<turn, role, text>> in order."""
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("_own")
+    rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), own, turn.alias("_turn"))
+    return rows.groupBy("conv_id", "_own").agg(F.sort_array(F.collect_list("_turn")).alias("turns")).drop("_own")
 
 
 def format_conversations(rows: DataFrame, template: TurnTemplate | None = None) -> DataFrame:

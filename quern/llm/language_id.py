@@ -32,6 +32,7 @@ GRAM = 4  # bytes
 PROBES = 3
 CELL_BITS = 20
 MAX_ROWS = 20_000
+LEAST_ROWS, _GRAINS = 50, 100_000_000  # rows of each language in a sample
 RARE = 4e-6  # least share of a language's n-grams
 BORROWED = 0.05  # least share of the share in the language that has it most
 
@@ -127,12 +128,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, *, max_rows: int = MAX_ROWS) -> Filters:
-    """Learns from the text and lang of the given rows; rows without either are left out."""
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").cast("string").alias("lang")).count().collect()
-    total = sum(r["count"] for r in sizes)
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
+    """Learns from the text and lang of the given rows; rows without either are left out.
+
+    Beyond max_rows a sample of about as many is taken, by a hash of the row: an equal number of each
+    language (all rows of one that has fewer, LEAST_ROWS at least), so that a rare language is learned at any size.
+    """
+    keys = [F.col("doc_id").cast("string")] if "doc_id" in docs.columns else []
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.pmod(F.xxhash64("text", *keys), F.lit(_GRAINS)).alias("grain")).where("text IS NOT NULL AND lang IS NOT NULL")
+    sizes = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy(F.col("lang").cast("string").alias("lang")).count().collect()
+    if sum(r["count"] for r in sizes) > max_rows:
+        left, quota = max_rows, 0.0
+        for k, r in enumerate(sorted(sizes, key=lambda r: r["count"])):
+            quota = left / (len(sizes) - k)
+            if r["count"] > quota:
+                break
+            left -= r["count"]
+        bounds = [(r["lang"], max(quota, LEAST_ROWS) / r["count"]) for r in sizes]
+        bound = F.element_at(F.create_map(*(F.lit(x) for lang, share in bounds for x in (lang, int(_GRAINS * min(1.0, share)) + 1))), F.col("lang"))
+        rows = rows.where(F.col("grain") < bound)
+    rows = rows.drop("grain")
     # an n-gram below the rarity bound never counts, so what comes back is bounded by 1 / RARE for each language
     counted = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))

@@ -210,13 +210,19 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> AdditiveModel:
-    """Learns quality from the texts of labelled ids; a broadcast of at most about max_rows ids."""
+    """Learns quality from the texts of labelled ids; a broadcast of at most about max_rows ids.
+
+    Where ids are repeated so often that these have over twice as many rows, a sample of about max_rows of them is taken.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("label")).where("_id IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("_id").agg(F.min("label").alias("label"), F.max("label").alias("high")).where("label = high").drop("high")
     total = known.count()
     if total > max_rows:
         known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), "_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("_at")).join(F.broadcast(known), "_id")
+    total = docs.select(F.col("doc_id").cast("long").alias("_id")).join(F.broadcast(known), "_id").count()
+    if total > 2 * max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("_at"), F.lit(1_000_000)) < max(1, int(1_000_000 * max_rows / total)))
     found = rows.select("label", "text").mapInArrow(_featurise, "label int, x array<double>").toArrow()
     if not found.num_rows:
         return AdditiveModel(0.0)

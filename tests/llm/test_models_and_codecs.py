@@ -359,7 +359,10 @@ def test_language_filters_return_all_languages():
     assert f.counts(other, np.array([0, len(other)])).max() < 20
 
 
-def test_embedding_links_against_brute_force(spark):
+@pytest.mark.parametrize("first", [1 << 15, 8])
+def test_embedding_links_against_brute_force(spark, monkeypatch, first):
+    monkeypatch.setattr(embedding_dedup, "FIRST", first)
+    monkeypatch.setattr(embedding_dedup, "MISS", 1e-9)  # of these few vectors none may be lost
     r = np.random.default_rng(2)
     rows, label = [], []
     for c in range(25):
@@ -403,13 +406,55 @@ def test_e8_decoding():
     assert (((x[:, None] - home[:, None] - embedding_dedup.roots()[None]) ** 2).sum(2) >= d[:, None] - 1e-9).all()
 
 
-def test_embedding_recall_at_the_threshold():
+@pytest.mark.parametrize("n", [10_000, 400_000, 40_000_000])
+def test_embedding_recall_at_the_threshold(n):
     r = np.random.default_rng(1)
-    a = r.normal(size=(4000, 64))
+    a = r.normal(size=(3000, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    n = r.normal(size=a.shape)
-    n -= (n * a).sum(1, keepdims=True) * a
-    n /= np.linalg.norm(n, axis=1, keepdims=True)
-    b = 0.93 * a + math.sqrt(1 - 0.93**2) * n
-    ka, kb = (embedding_dedup.cells(x, np.zeros(len(x), int)) for x in (a, b))
-    assert (ka[:, :, None] == kb[:, None, :]).any((1, 2)).mean() > 0.99
+    b = r.normal(size=a.shape)
+    b -= (b * a).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * b
+    blocks, probes, tables = embedding_dedup.settings(n, [64], 0.93)
+    ka, kb = (embedding_dedup.cells(x, np.zeros(len(x), int), tables, probes, blocks) for x in (a, b))
+    assert (ka[:, :, None] == kb[:, None, :]).any((1, 2)).mean() > 0.995
+
+
+def test_fewer_random_pairs_meet_among_more_vectors():
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    share = []
+    for n in (10_000, 400_000, 40_000_000):
+        blocks, probes, _ = embedding_dedup.settings(n, [64], 0.93)
+        keys = embedding_dedup.cells(x, np.zeros(len(x), int), 1, probes, blocks)
+        share.append(sum(c * (c - 1) / 2 for c in Counter(k for own in keys.tolist() for k in set(own)).values()) / (3000 * 2999 / 2))
+    assert share[0] < 0.06 and share[1] < share[0] / 10 and share[2] < share[1] / 5
+
+
+def test_pairs_that_met_before():
+    r = np.random.default_rng(3)
+    for _ in range(20):
+        keys = np.sort(r.integers(-5, 30, (12, 4)), axis=1)
+        want = np.array([[bool({k for k in a if k < 9} & {k for k in b if k < 9}) for b in keys.tolist()] for a in keys.tolist()])
+        got = embedding_dedup._met_before(keys, np.ones(12, bool), 9)
+        assert (got == want)[~np.eye(12, dtype=bool)].all()
+
+
+def test_language_sample_has_every_language(spark, tongues):
+    rare = spark.createDataFrame([(10_000 + i, "kwa kwe kwi " * 9, "ww", "q") for i in range(12)], tongues.schema)
+    filters = language_id.fit(tongues.union(rare), max_rows=60)
+    assert set(filters.languages) == {"xx", "yy", "zz", "ww"}
+
+
+def test_rows_without_a_conversation_are_conversations(spark):
+    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b"), (3, 0, "user", "c")], "conv_id long, turn long, role string, text string")
+    got = Counter((r.conv_id, r.n_turns) for r in chat_format.digests(chat_format.format_conversations(df)).collect())
+    assert got == Counter({(None, 1): 2, (3, 1): 1})
+
+
+def test_quality_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"good text number {i} for all") for i in range(300)] + [(2, f"{i} bad bad {i}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, max_rows=100)
+    assert len(quality.predict(docs, model).collect()) == 600
