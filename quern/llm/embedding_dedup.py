@@ -41,7 +41,7 @@ from quern.llm._spark import clashes, components, stored, with_node
 THRESHOLD = 0.93
 SCALE, NEAR = 3.5, 3  # NEAR: neighbours of each block that are tried
 PROBES = (2, 8, 20, 40)  # neighbouring cells by number of blocks
-FIRST, STEP = 1 << 15, 5  # one block up to FIRST vectors, one more for every 2**STEP times as many
+FIRST, STEP = 1 << 13, 5  # one block up to FIRST vectors, one more for every 2**STEP times as many
 MISS = 5e-4
 BLOCK = 2048
 TASK_MEMBERS = 40_000
