@@ -1,9 +1,13 @@
-"""Exact CART trees, grown level by level with aggregations.
+"""Exact CART trees.
 
-One job for each level: rows, keyed by the node they are in, are melted to (node, feature, value) and
-pre-aggregated; windows over each node's and feature's distinct values give the running sums and the
-best cut; only the best cut of every node comes to the driver. Rows move down by an expression made
-from the node table, so no row is rewritten.
+Large nodes are grown level by level with aggregations, one job for each level: rows, keyed by the node
+they are in, are melted to (node, feature, value) and pre-aggregated; windows over each node's and feature's
+distinct values give the running sums and the best cut; only the best cut of every node comes to the driver.
+Rows move down by an expression made from the few large nodes, so no row is rewritten.
+
+A node of SMALL rows or fewer is finished by one task, which has its rows in memory; all of them in one job.
+Both ways choose the same cuts. Predictions of trees of more than WIDE nodes walk the node table in Arrow
+batches, as one expression of so many branches would not compile.
 """
 
 from __future__ import annotations
@@ -11,6 +15,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +25,9 @@ from quern.operators import metrics
 from quern.operators.models.base import Estimator, document, ref
 from quern.types import quoted
 
+SMALL = 50_000
+WIDE = 200
+
 
 @dataclass
 class Node:
@@ -75,6 +84,92 @@ def tree_action(nodes: dict[int, Node], value: Any, at: int = 0) -> Any:
     return {"if": {"<=": [ref(node.feature), node.threshold]}, "then": tree_action(nodes, value, node.left), "else": tree_action(nodes, value, node.right)}
 
 
+def subtree(x: np.ndarray, y: np.ndarray, *, max_depth: int | None, min_split: int, min_leaf: int) -> list[tuple]:
+    """(n, impurity, value, feature, threshold, left, right, depth) of the nodes of a tree over rows in memory; feature -1 at a leaf. A missing value goes right."""
+    nodes: list[list] = []
+    todo = [(np.arange(len(x)), 0)]
+    made = 1
+    for at in todo:  # grows while it is walked
+        rows, depth = at
+        own, n = y[rows], len(rows)
+        means = own.sum(axis=0) / n
+        impurity = max(0.0, float(((own * own).sum(axis=0) / n - means * means).sum()))
+        node = [n, impurity, means.tolist(), -1, 0.0, -1, -1, depth]
+        nodes.append(node)
+        if n < max(2, min_split) or impurity <= 1e-12 or (max_depth is not None and depth >= max_depth):
+            continue
+        best = 1e-9
+        for f in range(x.shape[1]):
+            value = x[rows, f]
+            order = np.argsort(value, kind="stable")
+            order = order[: n - int(np.isnan(value).sum())]  # missing ones come last
+            m, value = len(order), value[order]
+            cut = np.flatnonzero(value[1:] > value[:-1])
+            cut = cut[(cut + 1 >= min_leaf) & (m - cut - 1 >= min_leaf)]
+            if not len(cut):
+                continue
+            total = np.cumsum(own[order], axis=0)
+            left, whole, size = total[cut], total[-1], (cut + 1)[:, None]
+            gain = np.round((left**2 / size + (whole - left) ** 2 / (m - size) - whole**2 / m).sum(axis=1), 9)
+            k = int(gain.argmax())
+            if gain[k] > best:
+                best = float(gain[k])
+                node[3], node[4] = f, float((value[cut[k]] + value[cut[k] + 1]) / 2)
+        if node[3] >= 0:
+            node[5], node[6] = made, made + 1
+            made += 2
+            down = x[rows, node[3]] <= node[4]
+            todo += [(rows[down], depth + 1), (rows[~down], depth + 1)]
+    return [tuple(node) for node in nodes]
+
+
+def _finish(rows: DataFrame, nodes: dict[int, Node], small: list[int], features: list[str], stats: list[str], max_depth: int | None, min_split: int, min_leaf: int) -> None:
+    """Grows the whole subtrees of small nodes, one task for each node."""
+    names = [f"x{k}" for k in range(len(features))]
+    inside = set(small)
+    where = F.expr(leaf_expression(nodes, lambda x: str(x.id) if x.id in inside else "CAST(NULL AS INT)"))
+    depths = {i: nodes[i].depth for i in small}
+
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        at = int(own["node"].iloc[0])
+        found = subtree(own[names].to_numpy(np.float64), own[stats].to_numpy(np.float64), max_depth=None if max_depth is None else max_depth - depths[at], min_split=min_split, min_leaf=min_leaf)
+        return pd.DataFrame([(at, k, *x) for k, x in enumerate(found)], columns=["node", "k", "n", "impurity", "value", "feature", "threshold", "left", "right", "depth"])
+
+    picked = rows.select(where.alias("node"), *(F.col(quoted(f)).alias(x) for f, x in zip(features, names, strict=True)), *stats).where("node IS NOT NULL")
+    found = picked.groupBy("node").applyInPandas(run, "node int, k int, n long, impurity double, value array<double>, feature int, threshold double, left int, right int, depth int").toPandas()
+    for at, own in found.sort_values(["node", "k"]).groupby("node"):
+        first, at = len(nodes), int(at)
+        name = lambda k, first=first, at=at: at if k == 0 else first + k - 1
+        for r in own.itertuples():
+            leaf = r.feature < 0
+            nodes[name(r.k)] = Node(
+                name(r.k), int(r.n), float(r.impurity), [float(v) for v in r.value], None if leaf else features[r.feature], None if leaf else float(r.threshold),
+                None if leaf else name(r.left), None if leaf else name(r.right), depths[at] + int(r.depth),
+            )
+
+
+def walk(nodes: dict[int, Node], features: list[str], value: Any) -> Any:
+    """A function of a pandas frame of the features that gives each row's leaf's value(node)."""
+    ids = sorted(nodes)
+    number = {i: k for k, i in enumerate(ids)}
+    own = [nodes[i] for i in ids]
+    feature = np.array([-1 if x.feature is None else features.index(x.feature) for x in own])
+    threshold = np.array([x.threshold or 0.0 for x in own])
+    left, right = (np.array([0 if x.feature is None else number[c] for x, c in side]) for side in ([(x, x.left) for x in own], [(x, x.right) for x in own]))
+    values = np.array([float(value(x)) if x.feature is None else 0.0 for x in own])
+
+    def run(x: np.ndarray) -> np.ndarray:
+        at = np.full(len(x), number[0])
+        active = np.flatnonzero(feature[at] >= 0)
+        while len(active):
+            k = at[active]
+            at[active] = np.where(x[active, feature[k]] <= threshold[k], left[k], right[k])
+            active = active[feature[at[active]] >= 0]
+        return values[at]
+
+    return run
+
+
 def grow(rows: DataFrame, features: list[str], stats: list[str], *, max_depth: int | None, min_split: int, min_leaf: int, max_leaves: int | None) -> dict[int, Node]:
     """Grows a tree on rows with the given statistics columns."""
     totals = [F.count("*").alias("n"), *(F.sum(s).alias(f"s{i}") for i, s in enumerate(stats)), *(F.sum(F.col(s) * F.col(s)).alias(f"q{i}") for i, s in enumerate(stats))]
@@ -86,9 +181,12 @@ def grow(rows: DataFrame, features: list[str], stats: list[str], *, max_depth: i
         return Node(node_id, n, max(0.0, impurity), means, depth=depth)
 
     nodes = {0: fill(0, rows.agg(*totals).first(), 0)}
-    level, leaves = [0], 1
+    level, leaves, small = [0], 1, []
     while level and features:
         level = [i for i in level if nodes[i].n >= max(2, min_split) and nodes[i].impurity > 1e-12 and (max_depth is None or nodes[i].depth < max_depth)]
+        if max_leaves is None:
+            small += [i for i in level if nodes[i].n <= SMALL]
+            level = [i for i in level if nodes[i].n > SMALL]
         if not level:
             break
         inside = ", ".join(str(i) for i in level)
@@ -111,6 +209,8 @@ def grow(rows: DataFrame, features: list[str], stats: list[str], *, max_depth: i
         for r in rows.groupBy(where.alias("node")).agg(*totals).where(F.col("node").isin(list(after))).collect():
             nodes[r["node"]] = fill(r["node"], r, after[r["node"]])
         level = list(after)
+    if small:
+        _finish(rows, nodes, small, features, stats, max_depth, min_split, min_leaf)
     return nodes
 
 
@@ -154,6 +254,24 @@ class _Tree(Estimator):
     def importance(self) -> dict[str, float]:
         return shares(gains(self.nodes), self.features)
 
+    @staticmethod
+    def _value(node: Node) -> float:
+        return node.value[0]
+
+    def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        if len(self.nodes) <= WIDE:
+            return super().predict(df, output)
+        sent = df.sparkSession.sparkContext.broadcast((self.nodes, self.features))
+        value, made = self._value, []
+
+        @F.pandas_udf("double")
+        def leaf(*columns: pd.Series) -> pd.Series:
+            if not made:
+                made.append(walk(*sent.value, value))
+            return pd.Series(made[0](np.stack([c.to_numpy(np.float64) for c in columns], axis=1)))
+
+        return df.withColumn(output, leaf(*(F.col(quoted(f)).cast("double") for f in self.features)))
+
 
 class TreeRegressor(_Tree):
     def build(self, df: DataFrame, target: int | str) -> TreeRegressor:
@@ -162,7 +280,7 @@ class TreeRegressor(_Tree):
         return self
 
     def to_pfa(self) -> dict:
-        return document(self.features, tree_action(self.nodes, lambda x: x.value[0]))
+        return document(self.features, tree_action(self.nodes, self._value))
 
     def get_info(self, df: DataFrame) -> dict[str, Any]:
         r = metrics.regression(self.predict(df), self.target, "prediction").first()
@@ -170,6 +288,10 @@ class TreeRegressor(_Tree):
 
 
 class TreeClassifier(_Tree):
+    @staticmethod
+    def _value(node: Node) -> float:
+        return float(node.value.index(max(node.value)))
+
     def build(self, df: DataFrame, target: int | str) -> TreeClassifier:
         rows = self._start(df, target)
         self.labels = sorted(r[0] for r in rows.select(quoted(self.target)).distinct().collect())
@@ -180,7 +302,7 @@ class TreeClassifier(_Tree):
         return self
 
     def to_pfa(self) -> dict:
-        return document(self.features, tree_action(self.nodes, lambda x: float(x.value.index(max(x.value)))), "int") | {"labels": self.labels}
+        return document(self.features, tree_action(self.nodes, self._value), "int") | {"labels": self.labels}
 
     def get_info(self, df: DataFrame) -> dict[str, Any]:
         labelled = self.predict(df).withColumn("_class", F.element_at(F.array(*(F.lit(float(x)) for x in self.labels)), F.col("prediction").cast("int") + 1))

@@ -6,8 +6,7 @@ DuckDB dialect. Sums and exponentials are rounded, as their last digits follow t
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,16 @@ from pyspark.sql import functions as F
 from quern.functions.compile import to_column, to_sql
 from quern.functions.rewrite import decode_missing, decode_one_hot
 from quern.operators import metrics, models
+from quern.operators.durable import scratch
 from quern.operators.models.linear import gram
 from quern.operators.models.trees import best_splits
 from quern.operators.preprocess import OneHotEncoder, fill_missing, split, split_key
 from quern.operators.profile import detect_format, histogram, profile, value_counts
 from quern.operators.transform import apply
-from quern.plans.workflows import limited
+from quern.plans.catalog import MemoryCatalog
+from quern.plans.workflows import Engine, limited
 from quern.sources.reader import encode_categories, null_tokens, read, to_float
-from quern.sources.sinks import records, write_dataset
+from quern.sources.sinks import get_text, records, write_dataset
 from quern.streaming.scoring import read_stream, score_stream, windowed_profile
 from quern.types import ColumnInfo, VirtualColumn
 
@@ -50,11 +51,6 @@ def doc(fields: list[str], action, name: str = "out", nullable: tuple[str, ...]
     return {"input": {"type": "record", "fields": kinds}, "output": {"name": name, "type": "double"}, "action": action}
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder (a local one where none is set)."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.gettempdir() + '/quern-checkpoints'}/{name}-{uuid.uuid4().hex}"
-
-
 # --- profiles -----------------------------------------------------------------------------------------
 
 
@@ -165,7 +161,7 @@ def categories_unify(spark, d):
 
 @query("SELECT CAST(o_orderkey AS FLOAT) AS \"0\", CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 ELSE -1 END AS SMALLINT) AS \"1\", CAST(o_totalprice AS FLOAT) AS \"2\" FROM orders")
 def typed_scan_project(spark, d):
-    path = scratch(spark, "orders") + ".csv"
+    path = scratch(spark, "orders", ".csv")
     table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority").write.csv(path, header=True)
     status = {"uniques_stats": [("F", 1), ("O", 1), ("P", 1)]}
     infos = [ColumnInfo(0, "o_orderkey", "numerical"), ColumnInfo(1, "o_orderstatus", "character", "categorical", status), ColumnInfo(2, "o_totalprice", "numerical"), ColumnInfo(3, "o_orderpriority", "other")]
@@ -174,7 +170,7 @@ def typed_scan_project(spark, d):
 
 @query("SELECT nullif(CASE WHEN l_linenumber = 1 THEN 'NA' WHEN l_linenumber = 2 THEN 'null' ELSE l_returnflag END, 'NA') AS flag FROM lineitem WHERE l_linenumber <> 2 UNION ALL SELECT NULL FROM lineitem WHERE l_linenumber = 2")
 def untyped_scan_tokens(spark, d):
-    path = scratch(spark, "tokens") + ".csv"
+    path = scratch(spark, "tokens", ".csv")
     table(spark, d, "lineitem").select(F.when(F.col("l_linenumber") == 1, "NA").when(F.col("l_linenumber") == 2, "null").otherwise(F.col("l_returnflag")).alias("flag"), F.lit("x").alias("other")).write.csv(path, header=True)
     return read(spark, path).select("flag")
 
@@ -455,11 +451,34 @@ def _trained(name: str, method: str, target: str, features: list[str], **paramet
 _trained("train_linear", "stepwise_linear_regression", "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
 _trained("train_logit", "logit", "flag", ["l_quantity", "l_discount", "l_tax", "line"])
 _trained("train_cart", "CART_regression", "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], max_depth=3)
+# Grown to the end, a leaf holds the rows of equal features.
+_trained("train_cart_full", "CART_regression", "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], min_samples_split=2)
+ORACLE_SQL["train_cart_full"] = "SELECT l_extendedprice, round(avg(l_extendedprice) OVER (PARTITION BY l_quantity, l_discount, l_tax), 6) AS prediction FROM lineitem"
+_trained("train_cart_default", "CART_regression", "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "line"])
 _trained("train_cart_clf", "CART_classification", "flag", ["l_quantity", "l_discount", "line"], max_depth=3)
 _trained("train_gbm_reg", "TN_regression", "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], n_estimators=3, max_leaf_nodes=8, learning_rate=0.1)
 _trained("train_gbm_clf", "TN_classification", "flag", ["l_quantity", "l_discount", "line"], n_estimators=2, max_leaf_nodes=4, learning_rate=0.1)
 
 
+@query()
+def pipeline_models(spark, d):
+    """The pipeline workflow over the whole table: a linear model and a tree for each of two targets, with their quality on both parts."""
+    path = scratch(spark, "lineitem", ".csv")
+    table(spark, d, "lineitem").select(*_ALL, "l_extendedprice", "l_returnflag").write.csv(path, header=True)
+    engine = Engine(spark, MemoryCatalog(), scratch(spark, "models"))
+    engine.extract_dataset_info(path, "lineitem")
+    options = {
+        "target_column_ids": [3, 0], "features": {k: {"type": "static"} for k in (0, 1, 2, 3, 4)}, "categorical_column_ids": [4],
+        "predictive_analysis_options": {"stepwise_linear_regression": {}, "CART_regression": {"max_depth": 3}},
+    }
+    keys = engine.build_predictive_pipeline("all", path, "lineitem", options)
+    rows = []
+    for key in keys:
+        info = json.loads(get_text(spark, f"{engine.folder}/models/{key}.info.json"))
+        rows += [(key, part, round(info[part]["MSE"], 4), round(info[part]["R_squared"], 6)) for part in ("learn", "test")]
+    return spark.createDataFrame(rows, "model string, part string, mse double, r_squared double")
+
+
 # --- Spark-native extras: the same expressions on streams ---------------------------------------------
 
 _EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"

@@ -180,3 +180,37 @@ def test_memory_catalog():
     c.patch("a", 1, x=1)
     c.patch("a", "1", y=2)
     assert c.get("a", 1) == {"x": 1, "y": 2} and math.isfinite(1)
+
+
+@pytest.mark.parametrize("method, target", [("CART_regression", "y"), ("CART_classification", "k")])
+def test_small_nodes_are_grown_like_large_ones(spark, monkeypatch, method, target):
+    from quern.operators.models import trees
+
+    r = np.random.RandomState(4)
+    rows = [(float(r.randint(0, 12)), None if r.rand() < 0.1 else float(r.randint(0, 9)), float(i % 3)) for i in range(400)]
+    df = spark.createDataFrame([(a, b, k, 3 * a - (b or 0) ** 2 + float(r.randint(0, 3))) for a, b, k in rows], "a double, b double, k double, y double").select("a", "b", target)
+    kept = {}
+    for small in (0, 40, 50_000):
+        monkeypatch.setattr(trees, "SMALL", small)
+        m = models.create(method, max_depth=5).build(df, target)
+        shape = lambda i, m=m: (m.nodes[i].n, m.nodes[i].feature, m.nodes[i].threshold, m.nodes[i].depth) + (() if m.nodes[i].feature is None else (shape(m.nodes[i].left, m), shape(m.nodes[i].right, m)))
+        kept[small] = shape(0)
+    assert kept[0] == kept[40] == kept[50_000]
+
+
+def test_default_tree_is_grown_to_the_end_and_scored_alike(spark, monkeypatch):
+    from quern.operators.models import trees
+
+    r = np.random.RandomState(5)
+    df = spark.createDataFrame([(float(r.randint(0, 300)), float(r.rand()), float(r.rand())) for _ in range(3000)], "a double, b double, y double")
+    m = models.create("CART_regression").build(df, "y")
+    assert len(m.nodes) > trees.WIDE and all(x.feature is None or x.n >= 10 for x in m.nodes.values())
+    whole = m.predict(df).select("a", "b", "prediction").collect()
+    small = {i: x for i, x in m.nodes.items() if x.depth <= 3}
+    for x in small.values():
+        if x.depth == 3:
+            x.feature = None
+    m.nodes = small
+    by_sql = {(r.a, r.b): r.prediction for r in m.predict(df).collect()}
+    monkeypatch.setattr(trees, "WIDE", 0)
+    assert {(r.a, r.b): r.prediction for r in m.predict(df).collect()} == by_sql and len(whole) == 3000
