@@ -39,6 +39,9 @@ class TurnTemplate:
     _escaped = re.compile(r"([<\[])\\(\\*)" + _control)
     _turn = re.compile(r"<s>(?:\[INST\] (.*?) \[/INST\]|\[ROLE\](.*?)\[/ROLE\](.*?)|(.*?))</s>", re.DOTALL)
 
+    def __init__(self) -> None:
+        self._known: dict[Turn, str] = {}
+
     def escape(self, text: str) -> str:
         return self._plain.sub(r"\1\\\2\3", text)
 
@@ -46,6 +49,17 @@ class TurnTemplate:
         return self._escaped.sub(r"\1\2\3", text)
 
     def turn(self, role: str, text: str) -> str:
+        """A turn as text; short ones are kept, as rendering prefix after prefix asks for each turn again and again."""
+        known = self._known.get((role, text))
+        if known is None:
+            known = self._turn_text(role, text)
+            if len(text) < 4096:
+                if len(self._known) >= 16_384:
+                    self._known.clear()
+                self._known[role, text] = known
+        return known
+
+    def _turn_text(self, role: str, text: str) -> str:
         text = self.escape(text)
         if role == "user":
             return f"<s>[INST] {text} [/INST]</s>"

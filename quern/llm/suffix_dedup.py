@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import _text
-from quern.llm._spark import buckets_for, clashes, discard, stored, with_node
+from quern.llm._spark import buckets_for, clashes, stored, with_node
 
 LENGTH, GRAM = 200, 100
 SPLIT = 8192
