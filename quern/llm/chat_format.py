@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 Turn = tuple[str, str]
 PROBE = "\ue000"
 LOSS_ROLE = "assistant"
+KEPT = 2 << 20
 
 
 class TurnTemplate:
@@ -41,6 +42,7 @@ class TurnTemplate:
 
     def __init__(self) -> None:
         self._known: dict[Turn, str] = {}
+        self._held = 0
 
     def escape(self, text: str) -> str:
         return self._plain.sub(r"\1\\\2\3", text)
@@ -49,14 +51,15 @@ class TurnTemplate:
         return self._escaped.sub(r"\1\2\3", text)
 
     def turn(self, role: str, text: str) -> str:
-        """A turn as text; short ones are kept, as rendering prefix after prefix asks for each turn again and again."""
+        """A turn as text; the last KEPT characters are kept, as rendering prefix after prefix asks for each turn again and again."""
         known = self._known.get((role, text))
         if known is None:
             known = self._turn_text(role, text)
-            if len(text) < 4096:
-                if len(self._known) >= 16_384:
-                    self._known.clear()
-                self._known[role, text] = known
+            self._held += len(known)
+            if self._held > KEPT:
+                self._known.clear()
+                self._held = len(known)
+            self._known[role, text] = known
         return known
 
     def _turn_text(self, role: str, text: str) -> str:
