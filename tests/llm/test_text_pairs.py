@@ -1,6 +1,7 @@
 """N-gram join, suffix dedup, line dedup and decontamination against brute force."""
 
 import hashlib
+import random
 import re
 import time
 from collections import Counter, defaultdict
@@ -62,6 +63,47 @@ def test_ngram_join_keeps_one_of_each_group(docs, texts):
     assert ids == {i for i, _, c in brute_components(texts) if i is None or i == c}
 
 
+def _crowd(seed):
+    """Texts of shared phrases, which are one candidate group with few links, and near copies of two texts."""
+    r = random.Random(seed)
+    phrase = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    pool = [phrase(40) for _ in range(12)]
+    rows = [(i, " ".join(r.sample(pool, 3))) for i in range(60)]
+    for start, n, edits in ((1000, 90, 1), (2000, 30, 3)):
+        base = phrase(80).split(" ")
+        for i in range(n):
+            rows.append((start + i, " ".join(f"e{r.randrange(10**6)}" if k in r.sample(range(80), edits) else w for k, w in enumerate(base))))
+    return rows
+
+
+@pytest.mark.parametrize("block", [500, 1500, 4000])
+def test_large_groups_lose_no_link(spark, block):
+    rows = _crowd(block)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, block_shingles=block).collect())
+    assert got == brute_components(rows)
+
+
+def test_a_large_group_of_near_copies_costs_its_size(spark, monkeypatch):
+    """Copies of one text that link with a few of them are told by the first search, whatever the number of blocks."""
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(i, " ".join(f"e{i}" if k == at else w for k, w in enumerate(base))) for i in range(160) for at in [r.randrange(150)]]
+    places, stored = [], ngram_join.stored
+
+    def note(df, name):
+        out = stored(df, name)
+        if name == "ngram-places":
+            places.append(out.agg(F.sum("weight")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", note)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = ngram_join.jaccard_components(df, block_shingles=2500).collect()
+    assert {x.component_id for x in out} == {0}
+    assert len(places) == 2 and places[1] == 0 and places[0] < 4 * 160 * 146
+
+
 def test_trie_finds_what_brute_force_finds():
     r = np.random.default_rng(0)
     for _ in range(30):
