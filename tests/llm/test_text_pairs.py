@@ -7,10 +7,11 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
+from quern.llm import _text, decontaminate, line_dedup, ngram_join, suffix_dedup
 from quern.llm._spark import clashes, components, with_node
 from tests.llm.conftest import prose
 
@@ -134,6 +135,17 @@ def test_structured_words_are_told_apart(spark, n):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 200)
 
 
+def test_words_that_were_searched_for_are_told_apart(spark):
+    """Two words that hash alike without a key, alone and within longer texts that differ in nothing else."""
+    pair = ["ja6hk753aaaabaaa", "brectah2jymbcxti"]
+    data, offsets = _text.utf8(pa.array(pair))
+    assert len(set(_text.words(data, offsets)[0].tolist())) == 1
+    rows = [(2 * k + i, f"{' '.join('abcdefgh'[:k])} {w} {' '.join('abcdefgh'[:k])}") for k in range(5) for i, w in enumerate(pair)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+    assert all(r.doc_id == r.component_id for r in got)
+
+
 def test_contents_that_share_a_hash_are_told_apart(spark):
     df = spark.createDataFrame([(1, 7, 1), (2, 7, 2), (3, 8, 1), (4, 7, 1)], "id int, a long, b long")
     nodes = {r.id: r.node for r in with_node(df, clashes(df)).collect()}
