@@ -302,6 +302,71 @@ def test_lm_score_agrees_with_a_naive_sampler(spark):
     assert sum(abs(out[i] - m) for i, m in enumerate(mean)) < sum(abs(p - m) for p, m in zip(plain, mean, strict=True)) / 3
 
 
+class NaiveOfAll(NaiveModel):
+    """The same with all levels sampled: the customers of two words, then of one, then the root's."""
+
+    def __init__(self, texts, sweeps, seed=0):
+        import random
+
+        r = random.Random(seed)
+        count = Counter(x for t in texts for x in self.grams(t))
+        triples, pairs = dict.fromkeys(count, 1), Counter((v, w) for _, v, w in count)
+        tables, root, self.rounds = dict.fromkeys(pairs, 1), {}, []
+        high, low = self.discount(count), self.discount(pairs)
+        base = 1 / (len({w for _, w in pairs}) + 1)
+        below = up = None
+        for k in range(sweeps + 1):
+            if k:
+                old = self.by(triples, 2)
+                triples = {x: self.seated(r, c, below(*x[1:]), old[x[:2]], high) for x, c in count.items()}
+                pairs, old = Counter(), self.by(tables, 1)
+                for (_, v, w), t in triples.items():
+                    pairs[v, w] += t
+                tables = {x: self.seated(r, c, up(x[1]), old[x[:1]], low) for x, c in pairs.items()}
+            customers = Counter()
+            for (_, w), t in tables.items():
+                customers[w] += t
+            d0 = self.discount(customers)
+            root = {w: self.seated(r, c, base, sum(root.values()), d0) if k else 1 for w, c in customers.items()}
+            total, new = 1 + sum(customers.values()), (1 + d0 * sum(root.values())) * base
+            up = lambda w, c=customers, t=root, d0=d0, new=new, total=total: (max(c[w] - d0 * t.get(w, 0), 0) + new) / total
+            below = self.level(pairs, tables, low, lambda v, w, up=up: up(w))
+            self.rounds.append(self.level(count, triples, high, lambda u, v, w, below=below: below(v, w)))
+
+    @staticmethod
+    def by(cells, n):
+        out = Counter()
+        for x, c in cells.items():
+            out[x[:n]] += c
+        return out
+
+    def level(self, cells, tables, d, parent):
+        n = len(next(iter(cells))) - 1
+        of, all_ = self.by(cells, n), self.by(tables, n)
+        return lambda *x: (max(cells.get(x, 0) - d * tables.get(x, 0), 0) + (1 + d * all_[x[:n]]) * parent(*x)) / (1 + of[x[:n]])
+
+    def scores(self, texts):
+        used = self.rounds[2:] or self.rounds[-1:]
+        return [sum(math.log10(sum(p(*x) for p in used) / len(used)) for x in self.grams(t)) for t in texts]
+
+
+@pytest.mark.parametrize("heavy", [65_535, 25])
+def test_lm_score_samples_all_levels(spark, monkeypatch, heavy):
+    import random
+
+    monkeypatch.setattr(lm_score, "HEAVY", heavy)
+    r = random.Random(5)
+    made = lambda k: " ".join(f"w{min(int(r.paretovariate(0.9)), 40) * (3 if r.random() < 0.2 else 1)}" for _ in range(k))
+    rows = [(i, made(60)) for i in range(60)]
+    df, train = spark.createDataFrame(rows, "doc_id long, text string"), [t for i, t in rows if i < 40]
+    out, fewer = ({x.doc_id: x.score for x in lm_score.score(df, lm_score.fit(df.where("doc_id < 40"), sweeps=4, n_buckets=3, **k)).collect()} for k in ({"seat_all": True}, {}))
+    runs = [NaiveOfAll(train, 4, seed).scores([t for _, t in rows]) for seed in range(5)]
+    mean = [sum(x) / len(runs) for x in zip(*runs, strict=True)]
+    off = lambda x: sum(abs(x[i] - m) for i, m in enumerate(mean))
+    assert [out[i] for i, _ in rows] == pytest.approx(mean, rel=0.02)
+    assert abs(sum(out.values()) / sum(mean) - 1) < 0.003 and off(out) < 1.5 * max(map(off, runs)) and off(out) < off(fewer) / 3
+
+
 def test_lm_root_is_a_distribution(spark):
     rows = [(i, " ".join(f"w{(i * k) % 23}" for k in range(50))) for i in range(30)]
     model = lm_score.fit(spark.createDataFrame(rows, "doc_id long, text string"), n_buckets=2)
